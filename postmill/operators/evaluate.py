@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postmill import fixed_values as fv
+from postmill.functions.names import named
 from postmill.functions import text as tx
 from postmill.operators.joins import first_per_key
 from postmill.sources.tables import underscore_names
@@ -33,8 +34,8 @@ def reconcile(left: DataFrame, right: DataFrame, key: Sequence[str] = KEY) -> Da
 
     Values become the structs ``l`` and ``r``; the struct of an absent side is NULL.
     """
-    a = left.select(*key, F.struct(*[c for c in left.columns if c not in key]).alias("l"))
-    b = right.select(*key, F.struct(*[c for c in right.columns if c not in key]).alias("r"))
+    a = left.select(*key, F.struct(*[named(c) for c in left.columns if c not in key]).alias("l"))
+    b = right.select(*key, F.struct(*[named(c) for c in right.columns if c not in key]).alias("r"))
     return a.join(b, list(key), "full_outer")
 
 
@@ -140,7 +141,7 @@ def compare(
 
     def side(df: DataFrame) -> DataFrame:
         df = prepare(df)
-        return first_rows(df.select(*[F.col(f"`{c}`") for c in df.columns if c in wanted]), KEY, row_no)
+        return first_rows(df.select(*[named(c) for c in df.columns if c in wanted]), KEY, row_no)
 
     return with_scores(roll_up(cell_counts(reconcile(side(validation), side(export)), flags, texts)))
 

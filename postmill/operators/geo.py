@@ -127,8 +127,7 @@ def resolve_places(
 
 def explode_places(df: DataFrame, places: str = "places") -> DataFrame:
     """One row per place of a posting, with its position."""
-    kept = [c for c in df.columns if c != places]
-    return df.select(*kept, F.posexplode(places).alias("place_pos", "place"))
+    return df.select("*", F.posexplode(places).alias("place_pos", "place")).drop(places)
 
 
 def known_cities(names: DataFrame, gazetteer: DataFrame, name: str = "place") -> DataFrame:

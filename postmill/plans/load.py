@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill import fixed_values as fv
+from postmill.functions.names import named
 from postmill.operators import classify, fields, geo, hooks, prompts, responses
 from postmill.operators.joins import ROWS_PER_TASK, first_per_key, lookup_by_key, run_counters, skip_known
 from postmill.schemas import RESULT_COLUMNS
@@ -134,7 +135,7 @@ def result_rows(staged: DataFrame, decided: DataFrame, inputs: LoadInputs) -> Da
 
 def finished(rows: DataFrame) -> DataFrame:
     """The result columns, in order, from derived ones; defaults filled in."""
-    named = {
+    source = {
         "MongoDB_ID": "_id", "Job_URL": "url", "Job_Titel": "job_title", "Portal_Name": "portal", "Datum": "posting_date",
         "Stadt": "place", "Bundesland": "state", "Land": "country", "Unternehmen": "company",
         "Unternehmensgröße": "size_bucket", "Zeitmodell": "time_model", "Position": "position",
@@ -142,12 +143,12 @@ def finished(rows: DataFrame) -> DataFrame:
     }
 
     def column(name: str) -> Column:
-        if name in named:
-            return F.col(named[name])
+        if name in source:
+            return F.col(source[name])
         if name == fv.REMOTE_CATEGORY:
             return fields.either_flag(F.col("remote"), F.col(name))
         if name in fv.FLAG_COLUMNS:
-            return F.coalesce(F.col(f"`{name}`"), F.lit(0))
+            return F.coalesce(named(name), F.lit(0))
         return F.coalesce(F.col(name), F.lit(""))
 
     seq = F.struct("collection", "ord", "place_pos", "time_model_pos").alias("seq")

@@ -19,7 +19,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header line; types are inferred only when no schema is given."""
+    """CSV with a header line; types are inferred only when no schema is given.
+
+    An empty cell is missing, whether it was NULL or an empty text when written.
+    """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postmill.operators.joins import skip_known
 from postmill.plans.load import LoadInputs, load
@@ -43,7 +44,7 @@ def keep_new(stream: DataFrame, id_col: str, order: list[str], target: str, chec
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        schema = rows.schema.simpleString()[len("struct<"):-1] + ",run:bigint"
+        schema = T.StructType(rows.schema.fields + [T.StructField("run", T.LongType())])
         spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{target}/run=-1")
         done = spark.read.schema(schema).parquet(target).where(F.col("run") < batch_id)
         fresh = skip_known(rows, done.select(id_col), order, id_col)
