@@ -225,4 +225,5 @@ def flags_and_unmatched(
 def phrase_rows(df: DataFrame, keys: Sequence[str], direct: str = "direct_benefits", found: str = "phrases") -> DataFrame:
     """One row per phrase of a posting: listed benefits first, then the ones found in answers."""
     both = F.concat(F.coalesce(direct, F.array().cast("array<string>")), F.coalesce(found, F.array().cast("array<string>")))
-    return df.select(*keys, F.posexplode(both).alias("pos", "phrase"))
+    rows = df.select(*keys, F.posexplode_outer(both).alias("pos", "phrase"))
+    return rows.where(F.col("phrase").isNotNull())

@@ -126,8 +126,13 @@ def resolve_places(
 
 
 def explode_places(df: DataFrame, places: str = "places") -> DataFrame:
-    """One row per place of a posting, with its position."""
-    return df.select("*", F.posexplode(places).alias("place_pos", "place")).drop(places)
+    """One row per place of a posting, with its position.
+
+    The outer form: the plain one makes Spark infer a filter on the array, which
+    it pushes below and works the whole place text out once more. A place array
+    is never empty, so the rows are the same.
+    """
+    return df.select("*", F.posexplode_outer(places).alias("place_pos", "place")).drop(places)
 
 
 def known_cities(names: DataFrame, gazetteer: DataFrame, name: str = "place") -> DataFrame:

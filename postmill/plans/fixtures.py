@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from postmill.operators import classify
 from postmill.operators.joins import first_per_key
 from postmill.plans.load import LoadInputs, answers_from_table, vectors_from_table
+from postmill.sources.tables import spread
 
 AS_OF = "2025-05-05"
 THRESHOLD = 0.25
@@ -47,6 +48,7 @@ CATEGORIES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -55,196 +57,129 @@ def pick(values: list[str], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with all ingredients of a posting."""
     joined = (
-        table(spark, sf_dir, "orders")
+        spread(table(spark, sf_dir, "orders"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    k = F.col("o_orderkey")
-    nation = lambda step: F.concat(F.lit("NATION_"), ((F.col("c_nationkey") + step) % 25).cast("string"))
-    rows = joined.select(
-        k.alias("k"), "o_custkey", "c_nationkey", "c_name", "c_mktsegment", "o_orderpriority", "o_totalprice",
-        "o_orderdate", F.col("n_name").alias("n1"), nation(7).alias("n2"), nation(11).alias("n3"),
-        (k % 2 == 0).alias("is_a"),
-    )
-    k = F.col("k")
-    n1, n2, n3 = F.col("n1"), F.col("n2"), F.col("n3")
-    loc = (
-        F.when((k % 7 == 0) & (k % 14 == 0), n1)
-        .when(k % 7 == 0, F.concat(F.lit("Ort_"), F.col("o_custkey")))
-        .when(k % 7 == 1, F.concat(n1, F.lit(", "), n2))
-        .when(k % 7 == 2, F.concat(n1, F.lit("; "), n2, F.lit(" / "), n3))
-        .when(k % 7 == 3, F.concat(n1, F.lit(" (Zentrum) und "), n2))
-        .when(k % 7 == 4, F.concat(F.lit("12345 "), n1, F.lit(" bei "), n2))
-        .when(k % 7 == 5, F.lit("bundesweit"))
-        .when(k % 14 == 6, F.lit("Nirgendwo"))
-        .otherwise(F.lit("Irgendwo"))
+    rows = joined.selectExpr(
+        "o_orderkey AS k", "o_custkey", "c_name", "c_mktsegment", "o_orderpriority", "o_totalprice",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS day", "n_name AS n1",
+        "'NATION_' || (c_nationkey + 7) % 25 AS n2", "'NATION_' || (c_nationkey + 11) % 25 AS n3",
+        "o_orderkey % 2 = 0 AS is_a",
     )
-    size = (
-        F.when(k % 8 == 1, F.lit("1,000 Mitarbeiter"))
-        .when(k % 8 == 2, F.lit("51-250"))
-        .when(k % 8 == 3, F.lit("10.000"))
-        .when(k % 8 == 4, F.lit("keine Angabe"))
-        .when(k % 8 == 5, F.lit("0"))
-        .when(k % 8 == 6, F.floor("o_totalprice").cast("string"))
-        .when(k % 8 == 7, F.lit("2,501-10,000 Mitarbeiter"))
-    )
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    date = (
-        F.when(k % 9 == 1, F.lit("gestern"))
-        .when((k % 9 >= 2) & (k % 9 <= 5), F.concat(day, F.lit("T00:30:00+02:00")))
-        .when(k % 9 >= 6, F.concat(day, F.lit("T23:15:00Z")))
-    )
-    a_url = F.concat(F.lit("https://www.stepstone.de/jobs/"), F.col("o_custkey"), F.lit("?k="), k % 3)
-    b_url = F.concat(F.lit("https://de.indeed.com/viewjob/"), k)
-    own = F.array(pick(PHRASES, k % 12), pick(PHRASES, (5 * k) % 12))
-    optional = lambda test, text: F.when(test, F.array(text)).otherwise(F.array().cast("array<string>"))
-    return rows.withColumns(
-        {
-            "doc_id": F.concat(F.lit("p"), k),
-            "collection": F.when(F.col("is_a"), "stepstone").otherwise("indeed"),
-            "url": F.when(k % 97 == 0, F.lit("")).when(F.col("is_a"), a_url).otherwise(b_url),
-            "url_alt": F.when(k % 194 == 97, F.concat(F.lit("https://jobs.example.org/"), k)),
-            "title": F.when(k % 31 == 0, F.lit("")).otherwise(
-                F.concat(F.lit(" "), "o_orderpriority", F.lit(" "), "c_mktsegment", F.lit(" "))
-            ),
-            "job_id": F.when(k % 62 == 0, k),
-            "job_no": F.when(k % 62 == 31, k),
-            "company_name": F.when(~F.col("is_a"), F.col("c_name")),
-            "loc": loc,
-            "contract": F.when(k % 3 == 0, F.lit("Feste Anstellung")).otherwise(F.lit("Befristet")),
-            "size": size,
-            "size_is_list": k % 16 != 1,
-            "listed": F.when(k % 4 == 0, F.array(pick(PHRASES, k % 12), pick(PHRASES, (k + 1) % 12))),
-            "benefits": F.when(
-                ~F.col("is_a"),
-                F.concat(
-                    own,
-                    optional(k % 4 == 1, F.lit("Nicht gefunden")),
-                    optional(k % 6 == 1, F.lit("")),
-                    optional(k % 3 == 0, F.concat(F.lit("Leistung "), 15 + k % 400)),
-                ),
-            ),
-            "tx1": pick(TEXTS, k % 10),
-            "tx2": pick(TEXTS, F.floor(k / 10) % 10),
-            "para": F.when(k % 5 == 0, "dict").when(k % 5 == 1, "none").otherwise("list"),
-            "date_posted": date,
-        }
+    ph, tx = _sql_list(PHRASES), _sql_list(TEXTS)
+    return rows.selectExpr(
+        "k", "is_a", "c_name", "'p' || k AS doc_id", "if(is_a, 'stepstone', 'indeed') AS collection",
+        """CASE WHEN k % 97 = 0 THEN ''
+                WHEN is_a THEN 'https://www.stepstone.de/jobs/' || o_custkey || '?k=' || k % 3
+                ELSE 'https://de.indeed.com/viewjob/' || k END AS url""",
+        "CASE WHEN k % 194 = 97 THEN 'https://jobs.example.org/' || k END AS url_alt",
+        "if(k % 31 = 0, '', ' ' || o_orderpriority || ' ' || c_mktsegment || ' ') AS title",
+        "if(k % 62 = 0, k, NULL) AS job_id",
+        "if(k % 62 = 31, k, NULL) AS job_no",
+        "if(is_a, NULL, c_name) AS company_name",
+        """CASE k % 7 WHEN 0 THEN if(k % 14 = 0, n1, 'Ort_' || o_custkey)
+                WHEN 1 THEN n1 || ', ' || n2 WHEN 2 THEN n1 || '; ' || n2 || ' / ' || n3
+                WHEN 3 THEN n1 || ' (Zentrum) und ' || n2 WHEN 4 THEN '12345 ' || n1 || ' bei ' || n2
+                WHEN 5 THEN 'bundesweit' ELSE if(k % 14 = 6, 'Nirgendwo', 'Irgendwo') END AS loc""",
+        "if(k % 3 = 0, 'Feste Anstellung', 'Befristet') AS contract",
+        """CASE k % 8 WHEN 1 THEN '1,000 Mitarbeiter' WHEN 2 THEN '51-250' WHEN 3 THEN '10.000'
+                WHEN 4 THEN 'keine Angabe' WHEN 5 THEN '0' WHEN 6 THEN cast(floor(o_totalprice) AS string)
+                WHEN 7 THEN '2,501-10,000 Mitarbeiter' END AS size""",
+        "k % 16 <> 1 AS size_is_list",
+        f"if(k % 4 = 0, array(get({ph}, cast(k % 12 AS int)), get({ph}, cast((k + 1) % 12 AS int))), NULL) AS listed",
+        f"""if(is_a, NULL, concat(array(get({ph}, cast(k % 12 AS int)), get({ph}, cast(5 * k % 12 AS int))),
+                if(k % 4 = 1, array('Nicht gefunden'), array()), if(k % 6 = 1, array(''), array()),
+                if(k % 3 = 0, array('Leistung ' || (15 + k % 400)), array()))) AS benefits""",
+        f"get({tx}, cast(k % 10 AS int)) AS tx1",
+        f"get({tx}, cast(floor(k / 10) % 10 AS int)) AS tx2",
+        "CASE k % 5 WHEN 0 THEN 'dict' WHEN 1 THEN 'none' ELSE 'list' END AS para",
+        """CASE WHEN k % 9 = 0 THEN NULL WHEN k % 9 = 1 THEN 'gestern'
+                WHEN k % 9 <= 5 THEN day || 'T00:30:00+02:00' ELSE day || 'T23:15:00Z' END AS date_posted""",
     )
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical postings, built straight from columns; ``k`` is kept."""
-    item = lambda is_list, items: F.struct(
-        is_list.alias("is_list"), F.lit(True).alias("ends_in_text"), items.alias("items")
-    )
-    yes, no = F.lit(True), F.lit(False)
-    company = F.when(F.col("is_a"), F.array(item(yes, F.array("c_name", "loc", "contract"))))
-    info = F.when(
-        F.col("size").isNotNull(),
-        F.array(
-            item(
-                F.col("size_is_list"),
-                F.when(F.col("size_is_list"), F.array(F.lit("Unternehmensgröße"), "size")).otherwise(F.array("size")),
-            )
-        ),
-    )
-    listed = F.transform("listed", lambda t: item(no, F.array(t)))
-    entry = lambda name, value: F.when(value.isNotNull(), F.struct(F.lit(name).alias("key"), value.alias("value")))
-    lists = F.map_from_entries(
-        F.array_compact(F.array(entry("company", company), entry("CompanyInfo", info), entry("content/benefits", listed)))
-    )
-    section = lambda name, is_list, items: F.struct(
-        F.lit(name).cast("string").alias("section"), is_list.alias("is_list"), items.alias("items")
-    )
-    both = F.array("tx1", "tx2")
-    paragraphs = (
-        F.when(
-            F.col("para") == "dict",
-            F.array(section("Aufgaben", yes, both), section("Profil", no, F.array(F.lit("Homeoffice möglich")))),
-        )
-        .when(F.col("para") == "list", F.transform(both, lambda t: section(None, no, F.array(t))))
-        .otherwise(F.array().cast("array<struct<section:string,is_list:boolean,items:array<string>>>"))
-    )
-    alt_title = F.when(
-        F.col("title") == "",
-        F.when(F.col("job_id").isNotNull(), F.concat(F.lit("Job ID: "), "job_id")).when(
-            F.col("job_no").isNotNull(), F.concat(F.lit("Job #: "), "job_no")
-        ),
-    )
-    return base(spark, sf_dir).select(
-        "k",
-        F.col("doc_id").alias("_id"),
-        "collection",
-        F.when(F.col("url") != "", F.col("url")).otherwise(F.coalesce("url_alt", F.lit(""))).alias("url"),
-        "title",
-        alt_title.alias("alt_title"),
-        "company_name",
-        F.when(~F.col("is_a"), F.concat(F.lit("80331 "), "loc")).alias("job_location_text"),
-        "date_posted",
-        F.coalesce("benefits", F.array().cast("array<string>")).alias("benefits"),
-        lists.alias("lists"),
-        F.col("para").alias("paragraphs_kind"),
-        paragraphs.alias("paragraphs"),
+    item = "named_struct('is_list', {0}, 'ends_in_text', true, 'items', {1})"
+    section = "named_struct('section', cast({0} AS string), 'is_list', {1}, 'items', {2})"
+    company = item.format("true", "array(c_name, loc, contract)")
+    info = item.format("size_is_list", "if(size_is_list, array('Unternehmensgröße', size), array(size))")
+    return base(spark, sf_dir).selectExpr(
+        "k", "doc_id AS _id", "collection", "if(url <> '', url, coalesce(url_alt, '')) AS url", "title",
+        "if(title = '', coalesce('Job ID: ' || job_id, 'Job #: ' || job_no), NULL) AS alt_title",
+        "company_name", "if(is_a, NULL, '80331 ' || loc) AS job_location_text", "date_posted",
+        "coalesce(benefits, cast(array() AS array<string>)) AS benefits",
+        f"""map_from_entries(array_compact(array(
+                if(is_a, named_struct('key', 'company', 'value', array({company})), NULL),
+                if(size IS NOT NULL, named_struct('key', 'CompanyInfo', 'value', array({info})), NULL),
+                if(listed IS NOT NULL, named_struct('key', 'content/benefits', 'value',
+                    transform(listed, t -> {item.format("false", "array(t)")})), NULL)))) AS lists""",
+        "para AS paragraphs_kind",
+        f"""CASE para
+                WHEN 'dict' THEN array({section.format("'Aufgaben'", "true", "array(tx1, tx2)")},
+                    {section.format("'Profil'", "false", "array('Homeoffice möglich')")})
+                WHEN 'list' THEN array({section.format("NULL", "false", "array(tx1)")},
+                    {section.format("NULL", "false", "array(tx2)")})
+                ELSE cast(array() AS array<struct<section:string,is_list:boolean,items:array<string>>>) END AS paragraphs""",
     )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same postings as raw ``(doc, collection)`` rows of JSON text."""
 
-    def text(value: Column) -> Column:
-        quoted = F.to_json(F.array(value.cast("string")))
-        return F.when(value.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+    def text(value: str) -> str:
+        return f"regexp_extract(to_json(array(cast({value} AS string))), '^.(.*).$', 1)"
 
-    def joined(parts: list[tuple[str, Column]]) -> Column:
-        fields = [F.when(v.isNotNull(), F.concat(F.lit(f'"{n}":'), v)) for n, v in parts]
-        return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    def field(name: str, value: str, present: str) -> str:
+        return f"if({present}, '\"{name}\":' || {value}, NULL)"
 
-    col = F.col
-    lists = joined(
+    lists = ", ".join(
         [
-            ("company", F.when(col("is_a"), F.to_json(F.array(F.array("c_name", "loc", "contract"))))),
-            (
+            field("company", "to_json(array(array(c_name, loc, contract)))", "is_a"),
+            field(
                 "CompanyInfo",
-                F.when(
-                    col("size").isNotNull(),
-                    F.when(col("size_is_list"), F.to_json(F.array(F.array(F.lit("Unternehmensgröße"), "size")))).otherwise(
-                        F.to_json(F.array("size"))
-                    ),
-                ),
+                "if(size_is_list, to_json(array(array('Unternehmensgröße', size))), to_json(array(size)))",
+                "size IS NOT NULL",
             ),
-            ("content/benefits", F.to_json("listed")),
+            field("content/benefits", "to_json(listed)", "listed IS NOT NULL"),
         ]
     )
-    both = F.to_json(F.array("tx1", "tx2"))
-    paragraphs = F.when(
-        col("para") == "dict", joined([("Aufgaben", both), ("Profil", F.lit('"Homeoffice möglich"'))])
-    ).when(col("para") == "list", both)
-    doc = joined(
+    both = "to_json(array(tx1, tx2))"
+    fields = ", ".join(
         [
-            ("_id", text(col("doc_id"))),
-            ("url", text(col("url"))),
-            ("URL", text(col("url_alt"))),
-            ("Job Title", text(col("title"))),
-            ("jobId", col("job_id").cast("string")),
-            ("Job #", col("job_no").cast("string")),
-            ("Company Name", text(col("company_name"))),
-            ("jobLocationText", text(F.when(~col("is_a"), F.concat(F.lit("80331 "), "loc")))),
-            ("datePosted", text(col("date_posted"))),
-            ("benefits", F.to_json("benefits")),
-            ("lists", lists),
-            ("paragraphs", paragraphs),
+            field("_id", text("doc_id"), "true"),
+            field("url", text("url"), "true"),
+            field("URL", text("url_alt"), "url_alt IS NOT NULL"),
+            field("Job Title", text("title"), "true"),
+            field("jobId", "job_id", "job_id IS NOT NULL"),
+            field("Job #", "job_no", "job_no IS NOT NULL"),
+            field("Company Name", text("company_name"), "company_name IS NOT NULL"),
+            field("jobLocationText", text("'80331 ' || loc"), "NOT is_a"),
+            field("datePosted", text("date_posted"), "date_posted IS NOT NULL"),
+            field("benefits", "to_json(benefits)", "benefits IS NOT NULL"),
+            field("lists", f"'{{' || concat_ws(',', {lists}) || '}}'", "true"),
+            field(
+                "paragraphs",
+                f"""if(para = 'list', {both}, '{{"Aufgaben":' || {both} || ',"Profil":"Homeoffice möglich"}}')""",
+                "para <> 'none'",
+            ),
         ]
     )
-    return base(spark, sf_dir).select("k", doc.alias("doc"), "collection")
+    return base(spark, sf_dir).selectExpr("k", f"'{{' || concat_ws(',', {fields}) || '}}' AS doc", "collection")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model answers per posting."""
     k = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey")).select(
         F.concat(F.lit("p"), k).alias("_id"), *[pick(texts, k % 8).alias(name) for name, texts in ANSWERS.items()]
     )
 
@@ -309,7 +244,7 @@ def prototypes(spark: SparkSession, sf_dir: str) -> classify.Prototypes:
 
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors as phrases of small postings: eight phrases each."""
-    return table(spark, sf_dir, "embeddings").select(
+    return spread(table(spark, sf_dir, "embeddings")).select(
         F.floor(F.col("vec_id") / 8).cast("bigint").alias("posting"), F.col("vec_id").alias("pos"),
         F.concat(F.lit("v"), "vec_id").alias("phrase"), "embedding",
     )

@@ -129,7 +129,7 @@ def result_rows(staged: DataFrame, decided: DataFrame, inputs: LoadInputs) -> Da
         counted=geo.explode_places(staged.select("ord", "places")),
         rows_per_task=inputs.rows_per_task,
     )
-    rows = rows.select("*", F.posexplode("time_models").alias("time_model_pos", "time_model"))
+    rows = rows.select("*", F.posexplode_outer("time_models").alias("time_model_pos", "time_model"))
     return finished(rows)
 
 

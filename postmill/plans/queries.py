@@ -49,7 +49,7 @@ def postings_by_portal(spark: SparkSession, sf_dir: str) -> DataFrame:
     for step in (fields.search_text, fields.time_models, fields.company_size_raw, fields.size_bucket, fields.portal):
         p = step(p)
     return (
-        p.select("portal", "size_bucket", F.explode("time_models").alias("time_model"))
+        p.select("portal", "size_bucket", F.explode_outer("time_models").alias("time_model"))
         .groupBy("portal", "size_bucket", "time_model")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -277,7 +277,7 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     for step in (fields.search_text, fields.company_and_location, fields.time_models, fields.position, geo.place_names):
         p = step(p)
     rows = geo.explode_places(p.select("_id", "url", "time_models", "position", "places"))
-    return rows.select("_id", "url", "place", F.explode("time_models").alias("time_model"), "position")
+    return rows.select("_id", "url", "place", F.explode_outer("time_models").alias("time_model"), "position")
 
 
 # --- phrases and vectors -----------------------------------------------------
@@ -534,7 +534,7 @@ def _table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result rows of all postings with the plain fields only."""
     p = fields.company_and_location(fields.rule_fields(fx.postings(spark, sf_dir), fx.AS_OF))
     p = geo.explode_places(geo.place_names(p).withColumns({"ord": F.col("_id"), "experience": F.lit(0), "branch": F.lit("Andere")}))
-    p = p.select("*", F.posexplode("time_models").alias("time_model_pos", "time_model"), F.lit("x").alias("state"), F.lit("y").alias("country"))
+    p = p.select("*", F.posexplode_outer("time_models").alias("time_model_pos", "time_model"), F.lit("x").alias("state"), F.lit("y").alias("country"))
     return load_plan.finished(p.withColumns({c: F.lit(0) for c in fv.FLAG_COLUMNS} | {"others": F.lit("")}))
 
 

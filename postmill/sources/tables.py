@@ -18,6 +18,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a few files out over all cores; a table of many files is left as it is.
+
+    Only the list of files is looked at. A large table has more files than there
+    are cores and so never pays for this shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores // 2 else df
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header line; types are inferred only when no schema is given.
 
