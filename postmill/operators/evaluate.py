@@ -40,11 +40,12 @@ def reconcile(left: DataFrame, right: DataFrame, key: Sequence[str] = KEY) -> Da
 
 
 def keys_in_both(left: DataFrame, right: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    return left.select(*key).intersect(right.select(*key))
+    """Distinct keys of both tables. Both sides lose their repeats before the shuffle."""
+    return left.select(*key).distinct().intersect(right.select(*key).distinct())
 
 
 def keys_only_left(left: DataFrame, right: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    return left.select(*key).subtract(right.select(*key))
+    return left.select(*key).distinct().subtract(right.select(*key).distinct())
 
 
 def _same_flag(a: Column, b: Column, numbers: bool) -> Column:

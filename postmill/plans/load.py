@@ -1,8 +1,7 @@
 """The load job: raw documents to rows of the result table.
 
-One plan: find new documents by their ids alone, open only those, derive fields,
-stage the narrow result, classify distinct phrases, resolve distinct places, fan
-out, append. Long texts are never shuffled.
+Find new documents by their ids alone, open only those, derive fields, stage the
+narrow result, classify distinct phrases, resolve distinct places, fan out, append.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from postmill import fixed_values as fv
 from postmill.functions.names import named
 from postmill.operators import classify, fields, geo, hooks, prompts, responses
-from postmill.operators.joins import ROWS_PER_TASK, first_per_key, lookup_by_key, run_counters, skip_known
+from postmill.operators.joins import ROWS_PER_TASK, first_per_key, join_small, lookup_by_key, run_counters
 from postmill.schemas import RESULT_COLUMNS
 from postmill.session import write_stage
 from postmill.sinks import files, result_table
@@ -77,15 +76,20 @@ def vectors_from_model(open_embedder) -> Callable[[DataFrame], DataFrame]:
 
 
 def new_documents(raw: DataFrame, known: DataFrame) -> DataFrame:
-    """Documents to load, unopened, with ``ord``.
+    """Documents whose id is not known, unopened, with ``ord``.
 
-    Only ids are shuffled. Documents meet the new ids again by a join on their
-    own key; documents without an id match nothing there and are kept.
+    Against a filled table the new ids are worked out from the ids alone, which
+    is cheap, and the documents are then filtered by them: most are known in a
+    regular run, so the new ids are few and their checked set is broadcast. Long
+    texts are shuffled only when a run brings more new ids than that. Documents
+    without an id match no id and are kept.
     """
     ided = with_order(with_ids(raw))
-    keys = ided.where(F.col("_id") != "").select("_id", "collection", "ord")
-    fresh = skip_known(keys, known, ["collection", "ord"]).select("collection", "ord", F.lit(True).alias("_new"))
-    met = ided.join(fresh, ["collection", "ord"], "left")
+    if known.isEmpty():
+        return ided.drop("_id")
+    ids = ided.where(F.col("_id") != "").select(F.col("_id").alias("ord")).distinct()
+    fresh = ids.join(known, F.col("ord") == F.col("MongoDB_ID"), "left_anti").withColumn("_new", F.lit(True))
+    met = join_small(ided, write_stage(fresh, "new_ids"), "ord")
     return met.where(F.col("_new") | (F.col("_id") == "")).drop("_new", "_id")
 
 
@@ -100,8 +104,8 @@ def derive(documents: DataFrame, inputs: LoadInputs) -> DataFrame:
         "time_models", "position", "employment", "experience", "branch", "remote", "places", "direct_benefits",
         "phrases",
     )
-    # A document delivered twice in one collection counts once.
-    return first_per_key(narrow, ["collection", "ord"], ["url", "job_title"])
+    # Of documents with the same id the first one counts; only narrow rows are compared for it.
+    return first_per_key(narrow, ["ord"], ["collection", "url", "job_title", "posting_date"])
 
 
 def decide_phrases(staged: DataFrame, inputs: LoadInputs) -> DataFrame:

@@ -12,7 +12,7 @@ from postmill.functions.names import named
 from postmill.functions import text as tx
 from postmill.functions import vectors
 from postmill.operators import classify, evaluate, fields, geo, prompts, responses
-from postmill.operators.joins import run_counters, skip_known
+from postmill.operators.joins import join_small, run_counters, skip_known
 from postmill.plans import fixtures as fx
 from postmill.plans import load as load_plan
 from postmill.session import work_path, write_stage
@@ -101,9 +101,9 @@ def completeness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gazetteer_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested country → state → city data flattened; the nesting is kept small per country and state."""
+    """Nested country → state → city data flattened; a nested state holds 500 cities at most."""
     flat = fx.gazetteer(spark, sf_dir)
-    states = flat.groupBy("country", "state", F.pmod("ord", F.lit(1009)).alias("part")).agg(
+    states = flat.groupBy("country", "state", F.floor(F.col("ord") / 500).alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("ord", F.col("city").alias("name")))).alias("c")
     )
     nested = states.select(
@@ -294,7 +294,8 @@ def vector_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = v.groupBy("label").agg(
         F.array(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(64)]).alias("mean")
     )
-    return v.join(means, "label").select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("mean")), 4).alias("cosine"))
+    met = join_small(v, write_stage(means, "means"), "label")
+    return met.select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("mean")), 4).alias("cosine"))
 
 
 @query

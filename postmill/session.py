@@ -28,13 +28,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
+_own_folder: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``; one of our own only where that is unset, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="postmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folder:
+        _own_folder[application] = tempfile.mkdtemp(prefix="postmill-")
+    return _own_folder[application]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
