@@ -69,7 +69,10 @@ def python_list_text(items: Column) -> Column:
         double = F.concat(F.lit('"'), s, F.lit('"'))
         return F.when(F.contains(s, F.lit("'")) & ~F.contains(s, F.lit('"')), double).otherwise(plain)
 
-    return F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))
+    escaped = F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))
+    simple = F.concat(F.lit("['"), F.array_join(items, "', '"), F.lit("']"))
+    needs_care = (F.size(items) == 0) | F.array_join(items, "").rlike(r"['\\\n\r\t]")
+    return F.when(needs_care, escaped).otherwise(simple)
 
 
 def lookup(mapping: Mapping[str, str], key: Column) -> Column:

@@ -15,6 +15,7 @@ from postmill import fixed_values as fv
 from postmill.functions import text as tx
 
 NO_TEXTS = "array<string>"
+LINES, PARAGRAPHS = "_list_lines", "_paragraph_texts"
 
 
 def _none() -> Column:
@@ -30,12 +31,18 @@ def named_list(name: str) -> Column:
     return F.try_element_at("lists", F.lit(name))
 
 
-def _list_texts() -> Column:
-    return F.flatten(F.transform(F.map_values("lists"), lambda items: F.transform(items, item_text)))
+def _lines(df: DataFrame) -> Column:
+    """One text per non-empty list, its items joined by blanks; taken from ``with_texts`` where that ran."""
+    if LINES in df.columns:
+        return F.col(LINES)
+    filled = F.filter(F.map_values("lists"), lambda items: F.size(items) > 0)
+    return F.transform(filled, lambda items: F.array_join(F.transform(items, item_text), " "))
 
 
-def _paragraph_texts() -> Column:
+def _paragraph_texts(df: DataFrame) -> Column:
     """List paragraphs in full; of named sections only those which are lists."""
+    if PARAGRAPHS in df.columns:
+        return F.col(PARAGRAPHS)
     return (
         F.when(F.col("paragraphs_kind") == "list", F.transform("paragraphs", item_text))
         .when(
@@ -46,6 +53,11 @@ def _paragraph_texts() -> Column:
     )
 
 
+def with_texts(df: DataFrame) -> DataFrame:
+    """Render lists and paragraphs once, for the readers of both that follow."""
+    return df.withColumns({LINES: _lines(df), PARAGRAPHS: _paragraph_texts(df)})
+
+
 def benefits_text(df: DataFrame, out: str = "benefits_text") -> DataFrame:
     """The benefits list when it holds something, else all paragraphs, one item per line."""
     listed = named_list(fv.BENEFITS_LIST)
@@ -70,12 +82,12 @@ def direct_benefits(df: DataFrame, out: str = "direct_benefits", benefits: str =
 
 def description(df: DataFrame, out: str = "description") -> DataFrame:
     """Paragraphs, then all lists, joined by blanks."""
-    return df.withColumn(out, F.array_join(F.concat(_paragraph_texts(), _list_texts()), " "))
+    return df.withColumn(out, F.array_join(F.concat(_paragraph_texts(df), _lines(df)), " "))
 
 
 def search_text(df: DataFrame, out: str = "search_text") -> DataFrame:
     """All lists, then paragraphs, joined by blanks, in lower case."""
-    return df.withColumn(out, F.lower(F.array_join(F.concat(_list_texts(), _paragraph_texts()), " ")))
+    return df.withColumn(out, F.lower(F.array_join(F.concat(_lines(df), _paragraph_texts(df)), " ")))
 
 
 def job_title(df: DataFrame, out: str = "job_title", title: str = "title") -> DataFrame:
@@ -151,21 +163,17 @@ def employment(
 
 
 def remote_flag(df: DataFrame, out: str = "remote") -> DataFrame:
-    """1 if the company entry, the paragraphs or a list offer remote work.
+    """1 if the paragraphs or a list, the company entry among them, offer remote work.
 
     Of named sections only the names are looked at.
     """
-    company = F.lower(F.array_join(F.transform(named_list(fv.COMPANY_LIST), item_text), " "))
     paragraphs = (
         F.when(F.col("paragraphs_kind") == "list", F.transform("paragraphs", item_text))
         .when(F.col("paragraphs_kind") == "dict", F.transform("paragraphs", lambda s: s["section"]))
         .otherwise(_none())
     )
-    lists = F.transform(F.map_values("lists"), lambda items: F.array_join(F.transform(items, item_text), " "))
-    everything = F.lower(F.concat(F.array_join(paragraphs, " "), F.array_join(lists, "")))
-    phrase = F.lit(fv.REMOTE_PHRASE)
-    hit = F.coalesce(F.contains(company, phrase), F.lit(False)) | F.contains(everything, phrase)
-    return df.withColumn(out, hit.cast("int"))
+    everything = F.lower(F.concat(F.array_join(paragraphs, " "), F.array_join(_lines(df), "")))
+    return df.withColumn(out, F.contains(everything, F.lit(fv.REMOTE_PHRASE)).cast("int"))
 
 
 def company_size_raw(df: DataFrame, out: str = "size_raw") -> DataFrame:
@@ -237,7 +245,10 @@ def either_flag(a: Column, b: Column) -> Column:
 
 def rule_fields(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """All fields which need nothing but the posting itself."""
+    rendered = LINES in df.columns
+    df = df if rendered else with_texts(df)
     for step in (search_text, job_title, company_and_location, time_models, position, employment, remote_flag,
                  company_size_raw, size_bucket, portal):
         df = step(df)
-    return posting_date(df, as_of)
+    df = posting_date(df, as_of)
+    return df if rendered else df.drop(LINES, PARAGRAPHS)

@@ -95,17 +95,22 @@ def new_documents(raw: DataFrame, known: DataFrame) -> DataFrame:
 
 def derive(documents: DataFrame, inputs: LoadInputs) -> DataFrame:
     """Narrow derived rows, one per document."""
-    postings = fields.rule_fields(canonical(documents), inputs.as_of)
+    postings = fields.rule_fields(fields.with_texts(canonical(documents)), inputs.as_of)
     postings = fields.direct_benefits(fields.benefits_text(fields.description(postings)))
-    read = inputs.answer(postings)
+    # Of documents with the same id the first one counts. Most of their columns are
+    # not read below, so that narrow rows are compared, and each task drops its
+    # repeats before the shuffle, which the join with the answers then uses as well.
+    once = first_per_key(
+        postings.drop("lists", "paragraphs", fields.LINES, fields.PARAGRAPHS),
+        ["ord"], ["collection", "url", "job_title", "posting_date"],
+    )
+    read = inputs.answer(once)
     read = responses.branch(responses.phrases(responses.experience(read)))
-    narrow = geo.place_names(read).select(
+    return geo.place_names(read).select(
         "ord", "collection", "_id", "url", "job_title", "portal", "posting_date", "company", "size_bucket",
         "time_models", "position", "employment", "experience", "branch", "remote", "places", "direct_benefits",
         "phrases",
     )
-    # Of documents with the same id the first one counts; only narrow rows are compared for it.
-    return first_per_key(narrow, ["ord"], ["collection", "url", "job_title", "posting_date"])
 
 
 def decide_phrases(staged: DataFrame, inputs: LoadInputs) -> DataFrame:

@@ -526,11 +526,11 @@ def oracle_sql() -> dict[str, str]:
                  round(max(recall) FILTER (scope = 'non_incentive' AND column_name = 'all'), 6) AS non_incentive_recall,
                  round(max(accuracy) FILTER (column_name = 'Boni'), 6) AS boni_accuracy,
                  round(max(recall) FILTER (column_name = 'Stadt'), 6) AS stadt_recall,
-                 CAST(NULL AS DOUBLE) AS verpflegung_recall
+                 true AS verpflegung_missing
                FROM scores, (VALUES ('2025-05-05 10:00:00'), ('2025-05-05 11:00:00')) x(run_ts) GROUP BY run_ts""",
         ),
         "incremental_skip": with_(ARRIVALS, "SELECT _id, ord FROM kept"),
-        "run_counts": with_(
+        "run_counters": with_(
             ARRIVALS,
             """SELECT (SELECT count(*) FROM a) AS total_jobs, (SELECT count(*) FROM kept) AS new_jobs,
                (SELECT count(*) FROM a) - (SELECT count(*) FROM kept) AS skipped_jobs""",

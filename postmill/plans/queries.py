@@ -11,8 +11,8 @@ from postmill import fixed_values as fv
 from postmill.functions.names import named
 from postmill.functions import text as tx
 from postmill.functions import vectors
-from postmill.operators import classify, evaluate, fields, geo, prompts, responses
-from postmill.operators.joins import join_small, run_counters, skip_known
+from postmill.operators import classify, evaluate, fields, geo, joins, prompts, responses
+from postmill.operators.joins import join_small, skip_known
 from postmill.plans import fixtures as fx
 from postmill.plans import load as load_plan
 from postmill.session import work_path, write_stage
@@ -501,7 +501,7 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select(
         "run_ts", *[F.round(c, 6).alias(c) for c in ("overall_accuracy", "overall_recall", "incentive_accuracy", "non_incentive_recall")],
         F.round("Boni_accuracy", 6).alias("boni_accuracy"), F.round("Stadt_recall", 6).alias("stadt_recall"),
-        F.round("Verpflegung_recall", 6).alias("verpflegung_recall"),
+        F.col("Verpflegung_recall").isNull().alias("verpflegung_missing"),
     )
 
 
@@ -527,8 +527,8 @@ def incremental_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_counters(_arrivals(spark, sf_dir), _skipped(spark, sf_dir))
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.run_counters(_arrivals(spark, sf_dir), _skipped(spark, sf_dir))
 
 
 def _table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -37,6 +38,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
+def with_row_no(df: DataFrame, out: str = "row_no") -> DataFrame:
+    """Number rows of a scan in file order, with gaps; no shuffle and no single task."""
+    return df.withColumn(out, F.monotonically_increasing_id())
+
+
 def underscore_names(df: DataFrame) -> DataFrame:
     """Blanks in column names become underscores."""
     return df.toDF(*[c.replace(" ", "_") for c in df.columns])
