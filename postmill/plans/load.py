@@ -127,8 +127,11 @@ def decide_phrases(staged: DataFrame, inputs: LoadInputs) -> DataFrame:
 def result_rows(staged: DataFrame, decided: DataFrame, inputs: LoadInputs) -> DataFrame:
     """Result rows: posting × place × time model, with their order of writing."""
     flags = classify.flags_and_unmatched(decided, ["ord"])
-    index = geo.gazetteer_index(
-        inputs.gazetteer, inputs.translations, inputs.home, inputs.home_label, inputs.state_names
+    index = write_stage(
+        geo.gazetteer_index(
+            inputs.gazetteer, inputs.translations, inputs.home, inputs.home_label, inputs.state_names
+        ),
+        "gazetteer",
     )
     rows = geo.resolve_places(
         geo.explode_places(staged.join(flags, "ord", "left")),

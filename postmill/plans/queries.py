@@ -238,6 +238,12 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places with state and country. The index is read twice, so it is written first, which also shows its size."""
+    index = write_stage(_index(spark, sf_dir), "gazetteer")
+    return geo.resolve_places(_located(spark, sf_dir), index, fx.translations(spark), ["_id", "place_pos"])
+
+
 @query
 def location_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _located(spark, sf_dir).select("_id", big("place_pos").alias("place_pos"), "place")
@@ -252,7 +258,7 @@ def gazetteer_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State and country of every place of every posting."""
-    rows = geo.resolve_places(_located(spark, sf_dir), _index(spark, sf_dir), fx.translations(spark), ["_id", "place_pos"])
+    rows = _resolved(spark, sf_dir)
     return rows.select("_id", big("place_pos").alias("place_pos"), "place", "state", "country")
 
 
@@ -266,8 +272,7 @@ def city_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def distinct_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = geo.resolve_places(_located(spark, sf_dir), _index(spark, sf_dir), fx.translations(spark), ["_id", "place_pos"])
-    return geo.distinct_values(rows, ["_id"])
+    return geo.distinct_values(_resolved(spark, sf_dir), ["_id"])
 
 
 @query
