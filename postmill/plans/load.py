@@ -175,7 +175,7 @@ def load(
     Runs must be numbered upwards from 1. Repeating a run gives the same table.
     """
     result_table.create(spark, table)
-    documents = new_documents(raw, result_table.known_ids(spark, table, run))
+    documents = new_documents(raw, result_table.earlier_ids(spark, table, run))
     staged = write_stage(derive(documents, inputs), "derived")
     decided = decide_phrases(staged, inputs)
     if log_path:

@@ -20,13 +20,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a few files out over all cores; a table of many files is left as it is.
+    """Deal the rows of a small scan out over all cores; a scan of many splits is left as it is.
 
-    Only the list of files is looked at. A large table has more files than there
-    are cores and so never pays for this shuffle.
+    Only the number of splits is asked for; nothing is read. A large table has
+    more splits than there are cores and so never pays for this shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores // 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

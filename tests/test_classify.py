@@ -104,3 +104,16 @@ def test_hooks_open_the_model_once_per_partition(spark):
 
     pairs = hooks.translation_pairs(df, "prompt", "de>en", lambda: (lambda batch: [None if t == "t1" else t.upper() for t in batch]))
     assert {r.src: r.dst for r in pairs.collect()}["t1"] == "t1" and {r.src: r.dst for r in pairs.collect()}["t2"] == "T2"
+
+
+def test_logged_scores_give_the_logged_decisions(spark):
+    """Phrases with scores of a real run: best score, and 1 where it was assigned."""
+    logged = [
+        ("Monatliche Vergütung", "13. Gehalt", 0.4783063530921936, 1), ("20 Urlaubstage", "Zusätzliche_Urlaubstage", 0.43397191166877747, 0),
+        ("25 Seminartage", "Zusätzliche_Urlaubstage", 0.32934272289276123, 0),
+    ]
+    rows = [(p, 0, n, [(c, n, s)]) for n, (p, c, s, _) in enumerate(logged)]
+    decided = {r.phrase: r for r in classify.decide(spark.createDataFrame(rows, RANKED)).collect()}
+    assert [(decided[p].best_category, decided[p].best_score, decided[p].assigned) for p, *_ in logged] == [
+        (c, s, a) for _, c, s, a in logged
+    ]

@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,10 @@ def test_load_twice_and_in_parts(spark, tmp_path, inputs):
     assert (again.total_jobs, again.new_jobs, again.skipped_jobs) == (16, 3, 13)
     assert whole(spark, path) == once
 
+    split, other = replace(inputs, rows_per_task=2), str(tmp_path / "other")
+    load_plan.load(spark, raw, other, 1, split)
+    assert whole(spark, other) == once
+
 
 def test_stream_equals_batch(spark, tmp_path, inputs):
     docs = DOCS[:12]
