@@ -59,13 +59,15 @@ def lookup_by_key(
     return joined.drop("_hot_key", "_salts", "_fact_salt", "_salt", "_answer_key")
 
 
-def join_small(facts: DataFrame, small: DataFrame, on: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join with a side which is usually small: broadcast after its rows were counted, else a plain join.
+def join_small(
+    facts: DataFrame, small: DataFrame, on: str | Sequence[str], max_rows: int = BROADCAST_ROWS, how: str = "left"
+) -> DataFrame:
+    """Join with a side which is usually small: broadcast after its rows were counted, else a plain join.
 
-    ``small`` should be a written stage, since it is read for the count and for the join.
+    ``small`` should be a written table, since it is read for the count and for the join.
     """
     fits = small.limit(max_rows + 1).count() <= max_rows
-    return facts.join(F.broadcast(small) if fits else small, on, "left")
+    return facts.join(F.broadcast(small) if fits else small, on if isinstance(on, str) else list(on), how)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int = 1) -> DataFrame:

@@ -19,16 +19,17 @@ def read_landed(spark: SparkSession, folder: str, collection: str, max_files: in
     return reader.text(folder).select(F.col("value").alias("doc"), F.lit(collection).alias("collection"))
 
 
-def load_available(stream: DataFrame, table: str, checkpoint: str, inputs: LoadInputs) -> None:
+def load_available(stream: DataFrame, table: str, checkpoint: str, inputs: LoadInputs, first_run: int = 1) -> None:
     """Load everything that has arrived since the last call, then stop.
 
     The checkpoint holds which files are done; a batch which is repeated after a
-    failure writes its own run again, so the table does not change.
+    failure writes its own run again, so the table does not change. A new checkpoint
+    counts batches from 0 again: give it a ``first_run`` above the runs of the table.
     """
     create(stream.sparkSession, table)
 
     def batch(documents: DataFrame, batch_id: int) -> None:
-        load(documents.sparkSession, documents, table, batch_id + 1, inputs)
+        load(documents.sparkSession, documents, table, first_run + batch_id, inputs)
 
     query = (
         stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

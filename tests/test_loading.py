@@ -70,6 +70,14 @@ def test_upsert_last_wins_and_repeats_change_nothing(spark, tmp_path):
     result_table.compact(spark, path, moved, 3)
     assert content(spark, moved) == content(spark, path)
     assert result_table.known_ids(spark, moved, 4).count() == 5
+    result_table.append_run(result_rows(spark, [("6", "u", "c", "after", "1"), ("7", "u", "e", "n", "2")]), moved, 4)
+    assert content(spark, moved) == [
+        ("", "c", "5", "e"), ("", "d", "", "e"), ("u", "c", "6", "after"), ("u", "e", "7", "n"), ("v", "c", "4", "late"),
+    ]
+    again = str(tmp_path / "again")
+    result_table.compact(spark, moved, again, 4)
+    assert content(spark, again) == content(spark, moved)
+    assert sorted(r[0] for r in result_table.known_ids(spark, again, 5).collect()) == ["1", "2", "3", "4", "5", "6", "7"]
 
 
 def test_export(spark, tmp_path):
