@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from postmill import fixed_values as fv
 from postmill.functions.names import named
 from postmill.operators import classify, fields, geo, hooks, prompts, responses
-from postmill.operators.joins import ROWS_PER_TASK, first_per_key, join_small, lookup_by_key, run_counters
+from postmill.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, first_per_key, join_small, lookup_by_key, run_counters
 from postmill.schemas import RESULT_COLUMNS
 from postmill.session import write_stage
 from postmill.sinks import files, result_table
@@ -44,10 +44,11 @@ class LoadInputs:
     as_of: str | Column | None = None
     threshold: float = fv.THRESHOLD
     rows_per_task: int = ROWS_PER_TASK
+    broadcast_rows: int = BROADCAST_ROWS
 
 
 def answers_from_table(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Responses by document id. Documents without an id have keys of their own in ``ord`` and meet nothing."""
+    """Responses by document id, one row each. Documents without an id have keys of their own in ``ord`` and meet nothing."""
     keyed = table.select(F.col("_id").alias("ord"), *RESPONSE_COLUMNS)
     return lambda postings: postings.join(keyed, "ord", "left")
 
@@ -68,14 +69,16 @@ def answers_from_models(open_experience, open_benefits, open_branch) -> Callable
 
 
 def vectors_from_table(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Vectors by phrase, one row each; a phrase without a vector stays unmatched."""
     return lambda distinct: distinct.join(table.select("phrase", "embedding"), "phrase", "left")
 
 
 def vectors_from_model(open_embedder) -> Callable[[DataFrame], DataFrame]:
+    """Vectors by an embedding hook, opened once per partition."""
     return lambda distinct: hooks.embed(distinct, "phrase", open_embedder)
 
 
-def new_documents(raw: DataFrame, known: DataFrame) -> DataFrame:
+def new_documents(raw: DataFrame, known: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Documents whose id is not known, unopened, with ``ord``.
 
     Against a filled table the new ids are worked out from the ids alone, which
@@ -89,7 +92,7 @@ def new_documents(raw: DataFrame, known: DataFrame) -> DataFrame:
         return ided.drop("_id")
     ids = ided.where(F.col("_id") != "").select(F.col("_id").alias("ord")).distinct()
     fresh = ids.join(known, F.col("ord") == F.col("MongoDB_ID"), "left_anti").withColumn("_new", F.lit(True))
-    met = join_small(ided, write_stage(fresh, "new_ids"), "ord")
+    met = join_small(ided, write_stage(fresh, "new_ids"), "ord", broadcast_rows)
     return met.where(F.col("_new") | (F.col("_id") == "")).drop("_new", "_id")
 
 
@@ -175,7 +178,7 @@ def load(
     Runs must be numbered upwards from 1. Repeating a run gives the same table.
     """
     result_table.create(spark, table)
-    documents = new_documents(raw, result_table.earlier_ids(spark, table, run))
+    documents = new_documents(raw, result_table.earlier_ids(spark, table, run), inputs.broadcast_rows)
     staged = write_stage(derive(documents, inputs), "derived")
     decided = decide_phrases(staged, inputs)
     if log_path:

@@ -145,9 +145,10 @@ def test_load_twice_and_in_parts(spark, tmp_path, inputs):
     assert (again.total_jobs, again.new_jobs, again.skipped_jobs) == (16, 3, 13)
     assert whole(spark, path) == once
 
-    split, other = replace(inputs, rows_per_task=2), str(tmp_path / "other")
-    load_plan.load(spark, raw, other, 1, split)
-    assert whole(spark, other) == once
+    split, other = replace(inputs, rows_per_task=2, broadcast_rows=0), str(tmp_path / "other")
+    assert load_plan.load(spark, raw.where("doc LIKE '%d1%'"), other, 1, split).first().new_jobs == 3
+    assert load_plan.load(spark, raw, other, 2, split).first().new_jobs == 12
+    assert sorted(r[2:] for r in whole(spark, other)) == sorted(r[2:] for r in once)
 
 
 def test_stream_equals_batch(spark, tmp_path, inputs):
