@@ -403,10 +403,12 @@ def oracle_sql() -> dict[str, str]:
         "title_company_location": with_(P, "SELECT _id, job_title, company, location FROM f"),
         "prompt_text": with_(
             P,
-            f"""SELECT _id, {prompt(fv.EXPERIENCE_PROMPT, 16, 'description')} AS experience_prompt,
-              {prompt(fv.BENEFITS_PROMPT, 16, 'benefits_text')} AS benefits_prompt,
-              {prompt(fv.BRANCH_PROMPT, 16, 'job_title')} AS branch_prompt,
-              {prompt(fv.BRANCH_PROMPT, 8, 'substr(job_title, 1, 1500)')} AS strict_prompt FROM f""",
+            "SELECT _id, md5(a) AS experience_prompt, md5(b) AS benefits_prompt, md5(c) AS branch_prompt, md5(d) AS strict_prompt, "
+            "length(a) AS experience_prompt_chars, length(b) AS benefits_prompt_chars, length(c) AS branch_prompt_chars, "
+            f"""length(d) AS strict_prompt_chars FROM (
+              SELECT _id, {prompt(fv.EXPERIENCE_PROMPT, 16, 'description')} AS a,
+                {prompt(fv.BENEFITS_PROMPT, 16, 'benefits_text')} AS b, {prompt(fv.BRANCH_PROMPT, 16, 'job_title')} AS c,
+                {prompt(fv.BRANCH_PROMPT, 8, 'substr(job_title, 1, 1500)')} AS d FROM f)""",
         ),
         "location_split": with_(PLACES, "SELECT _id, place_pos, place FROM pl"),
         "gazetteer_index": with_(GAZ, "SELECT * FROM gi"),

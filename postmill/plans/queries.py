@@ -219,9 +219,13 @@ def title_company_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prompt_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four prompts of every posting, as length and digest of the whole text."""
     p = fields.job_title(fields.benefits_text(fields.description(fx.postings(spark, sf_dir))))
     strict = prompts.strict_branch_prompt(prompts.prompts(p), out="strict_prompt")
-    return strict.select("_id", "experience_prompt", "benefits_prompt", "branch_prompt", "strict_prompt")
+    names = ("experience_prompt", "benefits_prompt", "branch_prompt", "strict_prompt")
+    return strict.select(
+        "_id", *[F.md5(n).alias(n) for n in names], *[big(F.length(n)).alias(f"{n}_chars") for n in names]
+    )
 
 
 # --- places ------------------------------------------------------------------
