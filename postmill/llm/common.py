@@ -13,7 +13,7 @@ BLOCK_BYTES = 4 << 20
 """Texts worked on together; a longer text is a block of its own."""
 
 CHUNK_BYTES = 1 << 19
-MIN_BUCKETS = 1024
+MIN_BUCKETS = 512
 KEY_BITS = 40
 
 _random = np.random.default_rng(20260101)

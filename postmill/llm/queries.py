@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontaminate, topk_search
+from postmill.llm import decontaminate, substring_dedup, topk_search
 from postmill.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of passages of 13 words or more which also stand in a document with a smaller id."""
+    found = substring_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+    return found.select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
@@ -45,6 +52,20 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM pairs QUALIFY rank <= 5
 """
 
+ORACLES["op7_substring_dedup"] = """
+WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+places AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM docs WHERE len(w) >= 13),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM places),
+least AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN least USING (win) WHERE first_id < doc_id
+),
+n_covered AS (SELECT doc_id, list(i) AS gone FROM covered GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, j: NOT list_contains(coalesce(gone, []), j)), ' ')) AS kept_sha256
+FROM docs d LEFT JOIN n_covered USING (doc_id)
+"""
+
 _WORDS8 = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES["op8_decontaminate"] = f"""
