@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontaminate, substring_dedup, topk_search
+from postmill.llm import decontaminate, jaccard_join, substring_dedup, topk_search
 from postmill.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,16 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by a Jaccard similarity of 0.85 of their 4-word shingles."""
+    found = jaccard_join.similar_sets(table(spark, sf_dir, "documents"))
+    no_id = F.lit(jaccard_join.NO_ID)
+    return found.select(
+        F.nullif("id", no_id).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("component", no_id).alias("component_id")
+    )
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of passages of 13 words or more which also stand in a document with a smaller id."""
@@ -52,6 +62,30 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM pairs QUALIFY rank <= 5
 """
 
+ORACLES["op3_jaccard_join"] = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w
+  FROM documents
+),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM docs WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT g FROM grams GROUP BY g HAVING count(*) > 1),
+shared AS (SELECT doc_id, g FROM grams SEMI JOIN common USING (g)),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM shared x JOIN shared y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM met JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * o >= 85 * (s.n + t.n - o)
+),
+reach(node, seen) AS (
+  SELECT a, b FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+),
+least AS (SELECT node, min(seen) AS m FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.node = d.doc_id
+"""
+
 ORACLES["op7_substring_dedup"] = """
 WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
 places AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM docs WHERE len(w) >= 13),
