@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontaminate, jaccard_join, substring_dedup, topk_search
+from postmill.llm import ctw, decontaminate, jaccard_join, substring_dedup, topk_search
 from postmill.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document by context-tree weighting, and by word frequencies."""
+    return ctw.scores(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_topk_search"] = """
