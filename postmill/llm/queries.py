@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import ctw, decontaminate, jaccard_join, substring_dedup, topk_search
+from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, raking, substring_dedup, topk_search, url_trust, warc_audit
 from postmill.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,12 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url: rules, then trust and distrust over links between hosts."""
+    return url_trust.judge(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best other vectors of every vector whose id is divisible by 50."""
@@ -35,6 +41,32 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive of all pages against a replica in which bits of some records have turned; the damaged records."""
+    pages = table(spark, sf_dir, "pages")
+    turned = F.col("page_id") * 7919 % 50 == 7
+    middle = (F.char_length("html") / 2).cast("int") + 1
+    replica = pages.withColumn("html", F.when(turned & (F.char_length("html") > 0), F.overlay("html", F.lit("\x01"), middle)).otherwise(F.col("html")))
+    found = warc_audit.audit(warc_audit.archive(pages), warc_audit.archive(replica))
+    return found.select(F.col("id").alias("page_id"), "file", "offset_a", "offset_b", "length_a", "length_b", "digest_a", "digest_b", "kind")
+
+
+@query
+def op5_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those whose remainder is not 2."""
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents, language_id.learned_from())
+    found = language_id.identified(documents, model)
+    return found.select(F.col("row").alias("doc_id"), F.lit(False).alias("held_out"), "lang_pred", "score").withColumn("held_out", language_id.held_out())
+
+
+@query
+def op6_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_mincut.extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of passages of 13 words or more which also stand in a document with a smaller id."""
@@ -54,6 +86,13 @@ def op9_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.scores(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 5 == 1)
 
 
+@query
+def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight and sampling probability under source, language and topic targets."""
+    found = raking.standard_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return found.drop("text", "lang", "source")
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_topk_search"] = """
@@ -92,6 +131,29 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(
 FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.node = d.doc_id
 """
 
+ORACLES["op4_warc_audit"] = """
+WITH texts AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS a,
+         CASE WHEN page_id * 7919 % 50 = 7 AND length(html) > 0
+              THEN html[1:length(html) // 2] || chr(1) || html[length(html) // 2 + 2:] ELSE coalesce(html, '') END AS b
+  FROM pages
+),
+records AS (
+  SELECT page_id,
+         'WARC/1.0' || e || 'WARC-Type: response' || e || 'WARC-Target-URI: ' || url || e || 'Content-Length: ' || strlen(a) || e || e || a || e || e AS ra,
+         'WARC/1.0' || e || 'WARC-Type: response' || e || 'WARC-Target-URI: ' || url || e || 'Content-Length: ' || strlen(b) || e || e || b || e || e AS rb
+  FROM texts, (SELECT chr(13) || chr(10) AS e)
+),
+placed AS (
+  SELECT page_id, page_id // 500 AS file, ra, rb, strlen(ra)::BIGINT AS length_a, strlen(rb)::BIGINT AS length_b,
+         (sum(strlen(ra)) OVER w - strlen(ra))::BIGINT AS offset_a, (sum(strlen(rb)) OVER w - strlen(rb))::BIGINT AS offset_b
+  FROM records WINDOW w AS (PARTITION BY page_id // 500 ORDER BY page_id)
+)
+SELECT page_id, file, offset_a, offset_b, length_a, length_b, sha256(ra) AS digest_a, sha256(rb) AS digest_b,
+       CASE WHEN ra = rb THEN 'moved' ELSE 'changed' END AS kind
+FROM placed WHERE ra <> rb OR offset_a <> offset_b
+"""
+
 ORACLES["op7_substring_dedup"] = """
 WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
 places AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM docs WHERE len(w) >= 13),
