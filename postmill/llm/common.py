@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 """Texts worked on together; a longer text is a block of its own."""
 
 CHUNK_BYTES = 1 << 19
 MIN_BUCKETS = 512
-KEY_BITS = 40
+BLOCK_ROWS = 60_000
 
 _random = np.random.default_rng(20260101)
 _BYTE_CODES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -61,7 +61,7 @@ def text_blocks(
         start = 0
         while start < len(array):
             end = int(np.searchsorted(offsets, offsets[start] + max_bytes, "right")) - 1
-            end = min(max(end, start + 1), len(array))
+            end = min(max(end, start + 1), len(array), start + BLOCK_ROWS)
             own = offsets[start : end + 1] - offsets[start]
             yield batch.slice(start, end - start), data[offsets[start] : offsets[end]], own
             start = end
@@ -130,14 +130,12 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """The lower 40 bits of keys, as 5 bytes each; with the bucket they tell keys apart."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+    """The lower 32 bits of keys; with the bucket they tell keys apart."""
+    return (keys & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
 
 
 def unpack_keys(packed: bytes) -> np.ndarray:
-    wide = np.zeros((len(packed) // 5, 8), dtype=np.uint8)
-    wide[:, :5] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 5)
-    return wide.reshape(-1).view("<u8")
+    return np.frombuffer(packed, "<u4")
 
 
 def segments(sorted_values: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ six words) depend on these words alone. Of each window of ``width`` words the se
 name is its anchor; equal windows have equal anchors. A window without any (long runs) is its own anchor.
 
 1. Spark meets the anchors of all documents in buckets; those seen once cannot belong to a repeat.
-2. Windows whose anchor is shared are named in full by 128 bits; Spark finds the smallest document of each name.
+2. Windows whose anchor is shared are named in full by 105 bits or more (bucket, 32 and 64); Spark finds the smallest document of each name.
    Each block of documents sends a window once, with the smallest id of its own, so a frequent window stays small.
 3. Words under a window that also starts in a smaller document are marked.
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import (
-    bucket_count, bucket_of, block_ids, mix, pack_keys, segments, text_blocks, unpack_keys, window_hashes, word_hashes, words,
+    bucket_count, bucket_of, block_ids, mix, pack_keys, ranges, segments, text_blocks, unpack_keys, window_hashes, word_hashes, words,
 )
 
 WIDTH = 13
@@ -168,7 +168,7 @@ def _shared_anchors(messages: pd.DataFrame) -> pd.DataFrame:
     if messages["bucket"].iat[0] < 0:
         return messages
     keys = np.concatenate([unpack_keys(k) for k in messages["keys"]])
-    sizes = [len(k) // 5 for k in messages["keys"]]
+    sizes = [len(k) // 4 for k in messages["keys"]]
     order = np.argsort(keys, kind="stable")
     starts = segments(keys[order])
     number = np.diff(np.append(starts, len(keys)))
@@ -231,12 +231,14 @@ def _window_messages(width: int, buckets: int) -> Callable:
             bucket = bucket_of(one, buckets)
             limits = np.append(segments(bucket), len(one))
             rows = [
-                (block, int(bucket[a]), int(a), np.concatenate([one[a:b], two[a:b]]).astype("<u8").tobytes(), least[a:b].astype("<i8").tobytes())
+                (block, int(bucket[a]), int(a), pack_keys(one[a:b]) + two[a:b].astype("<u8").tobytes(), least[a:b].astype("<i8").tobytes())
                 for a, b in zip(limits[:-1], limits[1:], strict=True)
             ]
             about = np.stack([_column(batch, "row_key"), _column(batch, "id")]).astype("<i8").tobytes()
-            place = np.stack([name, row[windows], windows - first[row[windows]]]).astype("<i4").tobytes()
-            rows.append((block, -1 - block % buckets, 0, about, place))
+            runs = segments(windows - np.arange(len(windows)) + row[windows] * len(hashes))
+            at = windows - first[row[windows]]
+            place = np.stack([row[windows[runs]], at[runs], np.diff(np.append(runs, len(windows)))])
+            rows.append((block, -1 - block % buckets, place.shape[1], about + place.astype("<i8").tobytes(), name.astype("<u4").tobytes()))
             yield pa.RecordBatch.from_pylist([dict(zip(("block", "bucket", "first", "keys", "more"), r, strict=True)) for r in rows], schema=_MESSAGE)
 
     return emit
@@ -246,16 +248,17 @@ def _least_document(messages: pd.DataFrame) -> pd.DataFrame:
     """The smallest document of every window of a bucket, told to the blocks where it is new."""
     if messages["bucket"].iat[0] < 0:
         return messages
-    keys = [np.frombuffer(k, "<u8").reshape(2, -1) for k in messages["keys"]]
-    one, two = np.concatenate(keys, axis=1)
+    sizes = [len(k) // 12 for k in messages["keys"]]
+    one = np.concatenate([unpack_keys(k[: 4 * n]) for k, n in zip(messages["keys"], sizes, strict=True)])
+    two = np.concatenate([np.frombuffer(k[4 * n :], "<u8") for k, n in zip(messages["keys"], sizes, strict=True)])
     least = np.concatenate([np.frombuffer(m, "<i8") for m in messages["more"]])
     order = np.lexsort((least, two, one))
     new = np.concatenate(([True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])))
     found = np.empty(len(one), np.int64)
     found[order] = least[order][new][np.cumsum(new) - 1]
     out, a = [], 0
-    for block, first, key in zip(messages["block"], messages["first"], keys, strict=True):
-        b = a + key.shape[1]
+    for block, first, size in zip(messages["block"], messages["first"], sizes, strict=True):
+        b = a + size
         out.append((block, 0, first, None, found[a:b].astype("<i8").tobytes()))
         a = b
     return pd.DataFrame(out, columns=["block", "bucket", "first", "keys", "more"])
@@ -266,8 +269,11 @@ def _marks(width: int) -> Callable:
 
     def mark(messages: pd.DataFrame) -> pd.DataFrame:
         head = messages[messages["keys"].notna()]
-        row_key, id_ = np.frombuffer(head["keys"].iat[0], "<i8").reshape(2, -1)
-        name, row, at = np.frombuffer(head["more"].iat[0], "<i4").reshape(3, -1)
+        packed, runs = np.frombuffer(head["keys"].iat[0], "<i8"), 3 * int(head["first"].iat[0])
+        row_key, id_ = packed[: len(packed) - runs].reshape(2, -1)
+        row, at, length = packed[len(packed) - runs :].reshape(3, -1)
+        row, at = np.repeat(row, length), np.repeat(at, length) + ranges(length)
+        name = np.frombuffer(head["more"].iat[0], "<u4")
         least = np.full(int(name.max()) + 1, NO_ID, np.int64)
         answers = messages[messages["keys"].isna()]
         for first, more in zip(answers["first"], answers["more"], strict=True):
