@@ -12,7 +12,7 @@ are not compared again. Then only sets of different components meet, and their o
 the pivot: ``min(o1, o2) + min(n1 - o1, n2 - o2)``. A group of m copies so costs m comparisons.
 
 Null and empty texts have no set, no links and their own id as component. Rows with equal doc_id are compared like other
-rows. Rows without doc_id take part; a component of such rows alone has a null id. N-grams are told apart by hash: 50 bits or more
+rows. Rows without doc_id take part; a component of such rows alone has a null id. N-grams are told apart by hash: 41 bits or more (bucket and key)
 within a pair of sets, 128 bits for equal sets.
 """
 
@@ -35,6 +35,7 @@ from postmill.session import write_stage
 WIDTH = 4
 PERCENT = 85
 NO_ID = (1 << 63) - 1
+MANY = 0xFFFF
 MESSAGE = "block long, bucket long, first int, keys binary, more binary"
 _MESSAGE = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("first", pa.int32()), ("keys", pa.binary()), ("more", pa.binary())])
 ROWS = "id long, row_key long, n long, cls binary, own int, prefix array<long>, tokens array<long>"
@@ -79,23 +80,28 @@ def _messages(width: int, buckets: int) -> Callable:
             again = np.zeros(batch.num_rows, bool)
             again[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
             sent = ~again[row]
-            gram = gram[sent]
+            row, gram = row[sent], gram[sent]
             local = np.bincount(gram, minlength=len(distinct))
             there = np.flatnonzero(local)
             place = np.zeros(len(distinct), np.int64)
             place[there] = np.arange(len(there))
-            keys, local = distinct[there], np.minimum(local[there], 0xFFFF)
+            gram = place[gram]
+            keys, local = distinct[there], local[there]
+            once = local[gram] == 1
+            ref = np.full(len(keys), MANY, np.uint16)
+            ref[gram[once]] = row[once]
             rows = []
             if len(keys):
                 bucket = bucket_of(keys, buckets)
                 limits = np.append(segments(bucket), len(keys))
                 rows = [
-                    (block, int(bucket[a]), int(a), pack_keys(keys[a:b]), local[a:b].astype("<u2").tobytes())
+                    (block, int(bucket[a]), int(a), pack_keys(keys[a:b]), local[a:b].astype("<u2").tobytes() + ref[a:b].astype("<u2").tobytes())
                     for a, b in zip(limits[:-1], limits[1:], strict=True)
                 ]
             id_, row_key = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("id", "row_key"))
             about = np.stack([id_, row_key, size, one.view(np.int64), two.view(np.int64), again.astype(np.int64)])
-            rows.append((block, -1 - block % buckets, len(keys), about.astype("<i8").tobytes(), place[gram].astype("<u4").tobytes()))
+            several = np.stack([row[~once], gram[~once]]).astype("<u4").tobytes()
+            rows.append((block, -1 - block % buckets, len(keys), about.astype("<i8").tobytes(), several))
             yield pa.RecordBatch.from_pylist([dict(zip(_MESSAGE.names, r, strict=True)) for r in rows], schema=_MESSAGE)
 
     return emit
@@ -107,19 +113,19 @@ def _count(messages: pd.DataFrame) -> pd.DataFrame:
     if bucket < 0:
         return messages
     keys = np.concatenate([unpack_keys(k) for k in messages["keys"]])
-    local = np.concatenate([np.frombuffer(m, "<u2") for m in messages["more"]]).astype(np.int64)
+    halves = [np.frombuffer(m, "<u2").reshape(2, -1) for m in messages["more"]]
+    local, ref = np.concatenate(halves, axis=1)
     order = np.argsort(keys, kind="stable")
     starts = segments(keys[order])
     total = np.empty(len(keys), np.int64)
-    total[order] = np.repeat(np.add.reduceat(local[order], starts), np.diff(np.append(starts, len(keys))))
-    keys |= np.uint64(bucket) << np.uint64(40)
+    total[order] = np.repeat(np.add.reduceat(local[order].astype(np.int64), starts), np.diff(np.append(starts, len(keys))))
     out, a = [], 0
-    for block, first, packed in zip(messages["block"], messages["first"], messages["keys"], strict=True):
-        b = a + len(packed) // 5
+    for block, first, half in zip(messages["block"], messages["first"], halves, strict=True):
+        b = a + half.shape[1]
         shared = np.flatnonzero(total[a:b] > 1)
         if len(shared):
-            told = np.stack([shared + first, total[a:b][shared], keys[a:b][shared].astype(np.int64)])
-            out.append((block, 0, 0, None, told.astype("<i8").tobytes()))
+            told = np.stack([shared + first, total[a:b][shared], keys[a:b][shared], ref[a:b][shared]])
+            out.append((block, bucket, len(shared), None, told.astype("<u4").tobytes()))
         a = b
     return pd.DataFrame(out, columns=_MESSAGE.names)
 
@@ -130,16 +136,18 @@ def _sets(percent: int) -> Callable:
     def build(messages: pd.DataFrame) -> pd.DataFrame:
         head = messages[messages["keys"].notna()].iloc[0]
         id_, row_key, size, one, two, again = np.frombuffer(head["keys"], "<i8").reshape(6, -1)
-        gram = np.frombuffer(head["more"], "<u4").astype(np.int64)
-        row = np.repeat(np.arange(len(size)), np.where(again, 0, size))
-        df, key = np.ones(int(head["first"]), np.int64), np.zeros(int(head["first"]), np.int64)
-        for told in messages[messages["keys"].isna()]["more"]:
-            at, number, name = np.frombuffer(told, "<i8").reshape(3, -1)
-            df[at], key[at] = number, name
-        shared = df[gram] > 1
-        row, gram = row[shared], gram[shared]
-        order = np.lexsort((key[gram], df[gram], row))
-        row, tokens = row[order], key[gram[order]]
+        row, gram = np.frombuffer(head["more"], "<u4").reshape(2, -1).astype(np.int64)
+        told = messages[messages["keys"].isna()]
+        told = [np.vstack([np.frombuffer(m, "<u4").reshape(4, -1), np.full(n, b)]) for b, n, m in zip(told["bucket"], told["first"], told["more"], strict=True)]
+        at, number, low, ref, bucket = np.concatenate([np.zeros((5, 0), np.int64), *told], axis=1).astype(np.int64)
+        name = bucket << 32 | low
+        df, key = np.zeros((2, int(head["first"])), np.int64)
+        df[at], key[at] = number, name
+        single = ref != MANY
+        row = np.concatenate([row, ref[single]])
+        tokens, rarity = np.concatenate([key[gram], name[single]]), np.concatenate([df[gram], number[single]])
+        order = np.lexsort((tokens, rarity, row))
+        row, tokens = row[order], tokens[order]
         number = np.bincount(row, minlength=len(size))
         own = size - number
         indexed = size - -(-percent * size // 100) + 1 - own
