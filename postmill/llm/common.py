@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 3 << 20
 """Texts worked on together; a longer text is a block of its own."""
@@ -31,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """All columns of a row as one struct, so that own columns never clash with given ones."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in without])
+
+
 def bucket_count(df: DataFrame) -> int:
     """Buckets for keys of ``df``: in proportion to its input partitions, so that a bucket keeps its size."""
     return int(min(1 << 20, max(MIN_BUCKETS, 16 * df.rdd.getNumPartitions())))

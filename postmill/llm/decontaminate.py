@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import ranges
+from postmill.llm.common import ranges, whole_row
 
 WIDTH = 10
 PART_CHARS = 32 << 20
@@ -158,7 +158,7 @@ def contamination(documents: DataFrame, items: DataFrame, width: int = WIDTH, pa
     ``keep`` names the column (any simple type) which comes along; "*" brings the whole row as a struct ``row``.
     """
     spark = documents.sparkSession
-    row = F.struct(*documents.columns).alias("row") if keep == "*" else F.col(keep).alias("row")
+    row = whole_row(documents).alias("row") if keep == "*" else F.col(keep).alias("row")
     empty = F.array().cast("array<int>")
     scanned = documents.select(
         row, F.col("text").cast("binary").alias("text_bytes"), F.lit(0).cast("long").alias("n_words"),

@@ -42,6 +42,7 @@ CONTENT_TAGS = frozenset(["article", "main"])
 CONTENT_NAMES = frozenset("article content entry post story body main text".split())
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[\s\x00]+")
+_CUT_OFF = re.compile(r"</?[a-zA-Z][^<>]*\Z")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 WEIGHTS = {"bias": -0.2, "boilerplate": -12.0, "content": 6.0, "named": 1.0, "heading": 0.4, "length": 0.5, "links": -4.0, "sentence": 0.5}
@@ -140,7 +141,7 @@ class _Reader(HTMLParser):
 
 def read_blocks(html: str) -> list[Block]:
     reader = _Reader()
-    reader.feed(html)
+    reader.feed(_CUT_OFF.sub("", html))
     reader.close()
     reader.flush()
     return reader.blocks

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import (
-    LOWER, bucket_count, bucket_of, block_ids, mix, pack_keys, segments, text_blocks, unpack_keys, window_hashes, word_hashes, words,
+    LOWER, bucket_count, bucket_of, block_ids, mix, pack_keys, segments, text_blocks, unpack_keys, whole_row, window_hashes, word_hashes, words,
 )
 from postmill.operators.joins import first_per_key
 from postmill.session import write_stage
@@ -270,9 +270,10 @@ def _sizes_fit(x: str, y: str, percent: int) -> Column:
 
 def one_of_each_group(documents: DataFrame, width: int, percent: int) -> DataFrame:
     """The first document of every group of linked ones; documents without words all stay."""
-    keyed = documents.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_key", F.xxhash64("doc_id", "text"))
-    stay = similar_sets(documents, width, percent).where("stays")
-    stay = stay.select(F.col("id").alias("_id"), F.col("row_key").alias("_key"), (F.col("n") == 0).alias("_empty")).distinct()
-    kept = keyed.join(stay, ["_id", "_key"])
-    once = first_per_key(kept.where("not _empty"), ["_id", "_key"], [F.lit(0)])
-    return once.unionByName(kept.where("_empty")).select(*documents.columns)
+    keyed = documents.select(
+        whole_row(documents).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("doc_id", "text").alias("row_key")
+    )
+    stay = similar_sets(documents, width, percent).where("stays").select("id", "row_key", (F.col("n") == 0).alias("empty")).distinct()
+    kept = keyed.join(stay, ["id", "row_key"])
+    once = first_per_key(kept.where("not empty"), ["id", "row_key"], [F.lit(0)])
+    return once.unionByName(kept.where("empty")).select("row.*")

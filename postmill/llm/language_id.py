@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import LOWER, text_blocks
+from postmill.llm.common import LOWER, text_blocks, whole_row
 from postmill.operators.joins import first_per_key
 
 ORDERS = (2, 3, 4)
@@ -132,7 +132,7 @@ def _predict(shared) -> Callable:
 
 def identified(documents: DataFrame, model: Classifier | None, keep: str = "doc_id") -> DataFrame:
     """Every document (the column ``keep``, or with "*" the whole row as a struct ``row``) with lang_pred and score."""
-    row = F.struct(*documents.columns) if keep == "*" else F.col(keep)
+    row = whole_row(documents) if keep == "*" else F.col(keep)
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
     texts = documents.select(row.alias("row"), lettered, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     kind = texts.schema["row"].dataType.simpleString()

@@ -6,8 +6,8 @@ weight, scaled so that the kept tokens meet the budget, and at most 1; the rest
 ``weight`` of a kept document (target over probability) makes the weighted sample meet the targets. Sampling is a hash of id and text, so it
 does not change on a retry, and equal rows share their fate.
 
-Only the cell table is iterated, by Spark; sums of it reach the driver. Null values are a category of their own (``unknown``). Documents
-without words have no weight and are kept. An empty table gives no rows. Targets of values which do not occur are spread over the rest.
+Only the cell table is iterated, by Spark; sums of it reach the driver. Null values are a category of their own (``unknown``). Given columns named
+like those added (``mix_…``) give way. Documents without words have no weight and are kept. An empty table gives no rows. Targets of values which do not occur are spread over the rest.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postmill.llm.common import whole_row
 from postmill.session import write_stage
 
 SWEEPS = 50
@@ -78,21 +79,21 @@ def mixed(documents: DataFrame, dimensions: Mapping[str, object], tokens, target
 
     ``dimensions`` maps names to columns, ``tokens`` is a column, ``targets`` maps names to functions of the cell table, or tables (value, target).
     """
-    names = list(dimensions)
-    clash = {n: f"mix_{n}" for n in names}
-    facts = documents.withColumns({clash[n]: F.coalesce(c.cast("string"), F.lit("unknown")) for n, c in dimensions.items()})
-    facts = facts.withColumn("mix_tokens", F.coalesce(tokens, F.lit(0)).cast("long"))
+    clash = {n: f"mix_{n}" for n in dimensions}
+    own = (*clash.values(), "mix_tokens", "mix_probability", "mix_weight", "mix_kept")
+    facts = documents.select(
+        whole_row(documents, own).alias("row"), *[F.coalesce(c.cast("string"), F.lit("unknown")).alias(clash[n]) for n, c in dimensions.items()],
+        F.coalesce(tokens, F.lit(0)).cast("long").alias("mix_tokens"),
+        (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11).cast("double") / F.lit(float(1 << 53))).alias("chance"),
+    )
     cells = write_stage(facts.groupBy(*clash.values()).agg(F.sum("mix_tokens").alias("tokens")), "cells")
     wanted = {clash[n]: t(cells, clash[n]) if callable(t) else t for n, t in targets.items()}
     fit = write_stage(probabilities(fitted(cells, list(clash.values()), wanted), budget).select(*clash.values(), "p", "lift"), "probabilities")
     known = F.broadcast(fit) if fit.count() <= BROADCAST_CELLS else fit
     met = facts.join(known, list(clash.values()), "left")
-    p = F.when(F.col("mix_tokens") == 0, F.lit(1.0)).otherwise(F.col("p"))
-    chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11).cast("double") / F.lit(float(1 << 53)))
-    return met.select(
-        *documents.columns, *clash.values(), "mix_tokens", p.alias("mix_probability"),
-        F.when(F.col("mix_tokens") == 0, F.lit(0.0)).otherwise(F.col("lift") / F.col("p")).alias("mix_weight"), (chance < p).alias("mix_kept"),
-    )
+    p = F.when(F.col("mix_tokens") == 0, F.lit(1.0)).otherwise(F.coalesce("p", F.lit(1.0)))
+    weight = F.when(F.col("mix_tokens") == 0, F.lit(0.0)).otherwise(F.coalesce(F.col("lift") / F.col("p"), F.lit(0.0)))
+    return met.select("row.*", *clash.values(), "mix_tokens", p.alias("mix_probability"), weight.alias("mix_weight"), (F.col("chance") < p).alias("mix_kept"))
 
 
 def words_in(text) -> object:
