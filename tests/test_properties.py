@@ -1,8 +1,8 @@
 """Column expressions against plain Python on random texts."""
 
-import re
 import unicodedata
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -33,61 +33,91 @@ def test_fold(spark, values):
     assert column(spark, values, "string", tx.fold) == expected
 
 
-def tidy(text):
-    for pattern, new, flags in (
-        (r"[;/•]| und | oder ", ", ", 0), (r"\bbei\b.*", "", re.I), (r"\(.*?\)", "", 0), (r"\s*,\s*", ", ", 0),
-    ):
-        text = re.sub(pattern, new, text, flags=flags)
-    return text.strip()
+@pytest.mark.parametrize(
+    ("given_text", "expected"),
+    [
+        ("Köln; Bonn", "Köln, Bonn"), ("Köln/Bonn", "Köln, Bonn"), ("Köln • Bonn", "Köln, Bonn"), ("Köln und Bonn oder Ulm", "Köln, Bonn, Ulm"),
+        ("Köln bei Bonn", "Köln"), ("BEI Ulm", ""), ("beim Dom", "beim Dom"), ("Köln (Süd)", "Köln"), ("Köln ,Bonn", "Köln, Bonn"),
+    ],
+)
+def test_place_cases(spark, given_text, expected):
+    assert column(spark, [given_text], "string", geo.normalise_places) == [expected]
 
 
 @QUICK
-@given(st.lists(st.lists(st.sampled_from(["Köln", " bei ", "BEI", " und ", " oder ", ",", ";", "(", ")", " ", " ", "1", "beim"]),
+@given(st.lists(st.lists(st.sampled_from(["Köln", " bei ", " und ", " oder ", ",", ";", "/", "•", "(", ")", " ", "1", "beim"]),
                          max_size=8).map("".join), min_size=20, max_size=60))
 def test_places(spark, values):
-    assert column(spark, values, "string", geo.normalise_places) == [tidy(v) for v in values]
+    """No separator but the comma is left, and cleaning twice changes nothing."""
+    once = column(spark, values, "string", geo.normalise_places)
+    assert not any(mark in place for place in once for mark in ";/•")
+    assert all(place == place.strip() for place in once)
+    tame = [place for place in once if "(" not in place and ")" not in place and "und" not in place and "oder" not in place]
+    assert column(spark, tame or [""], "string", geo.normalise_places) == (tame or [""])
 
 
 @QUICK
 @given(st.lists(PLACE, min_size=20, max_size=60))
 def test_split(spark, values):
-    assert column(spark, values, "string", geo.split_places) == [re.split(r",\s*(?![^(]*\))", v) for v in values]
+    """Nothing but commas and the white space after them is lost, and brackets which close stay whole."""
+    for text, parts in zip(values, column(spark, values, "string", geo.split_places), strict=True):
+        rest = text
+        for part in parts:
+            assert part in rest
+            rest = rest[rest.index(part) + len(part) :]
+        assert "".join(parts).replace(",", "").split() == [] or len(parts) <= text.count(",") + 1
 
 
-@QUICK
-@given(st.lists(st.text(alphabet="019,. a", max_size=12), min_size=20, max_size=60))
-def test_size(spark, values):
-    limits = [(0, "0-10"), (10, "11-50"), (50, "51-250"), (250, "251-500"), (500, "501-1000"), (1000, "1001-2500"),
-              (2500, "2501-10000"), (10000, "10000+")]
+SIZE_CASES = [
+    ("", "Keine Angaben"), ("0", "Keine Angaben"), ("1", "0-10"), ("10", "0-10"), ("11", "11-50"), ("50", "11-50"), ("51-250", "51-250"), ("251", "251-500"),
+    ("501", "501-1000"), ("1,000 Mitarbeiter", "501-1000"), ("1001", "1001-2500"), ("2,501-10,000", "2501-10000"), ("10001", "10000+"), ("viele", "Keine Angaben"),
+]
 
-    def bucket(text):
-        largest = max(map(int, re.findall(r"\d+", text.replace(",", ""))), default=0)
-        return next((label for low, label in reversed(limits) if largest > low), "Keine Angaben")
 
+def sizes(spark, values):
     df = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, size_raw string")
-    assert [r.size_bucket for r in fields.size_bucket(df).orderBy("n").collect()] == [bucket(v) for v in values]
+    return [r.size_bucket for r in fields.size_bucket(df).orderBy("n").collect()]
+
+
+def test_size_cases(spark):
+    assert sizes(spark, [text for text, _ in SIZE_CASES]) == [label for _, label in SIZE_CASES]
 
 
 @QUICK
-@given(st.lists(st.text(alphabet="-*•1. ab\n ", max_size=20), min_size=20, max_size=60))
-def test_bullets(spark, values):
-    def items(text):
-        lines = [line for line in text.split("\n") if re.match(r"^(\s*[-*•]|\d+\.)\s*", line)]
-        cleaned = [re.sub(r"^[\s\-*•]+\s*", "", line).strip() for line in lines]
-        return [c for c in cleaned if c]
+@given(st.lists(st.integers(1, 99_999), min_size=20, max_size=60))
+def test_sizes_rise(spark, values):
+    """A larger number never gives a lower bucket, and a smaller number beside it changes nothing."""
+    order = list(dict.fromkeys(label for _, label in SIZE_CASES))
+    ranks = [order.index(label) for label in sizes(spark, [str(v) for v in sorted(values)])]
+    assert ranks == sorted(ranks)
+    assert sizes(spark, [f"{v} bis {v // 2}" for v in values]) == sizes(spark, [str(v) for v in values])
+
 
-    assert column(spark, values, "string", responses.bullet_items) == [items(v) for v in values]
+def test_bullet_cases(spark):
+    texts = ["- a\n* b\n• c", "1. d\n 2. e", "x\n-- f", "-\n* ", "no bullets", " - g "]
+    assert column(spark, texts, "string", responses.bullet_items) == [["a", "b", "c"], ["1. d"], ["f"], [], [], ["g"]]
 
 
 @QUICK
-@given(st.lists(st.text(alphabet="w.-a/:cohtps", max_size=10).map(lambda s: "https://" + s + ".com"), min_size=20, max_size=60))
-def test_portal(spark, values):
-    def portal(url):
-        hit = re.search(r"www\.(.*?)\.", url) or re.search(r"https?://(?:[\w-]+\.)*([\w-]+)\.com", url)
-        return hit.group(1) if hit else "Unknown"
-
-    df = spark.createDataFrame([(n, v) for n, v in enumerate(values)], "n int, url string")
-    assert [r.portal for r in fields.portal(df).orderBy("n").collect()] == [portal(v) for v in values]
+@given(st.lists(st.text(alphabet="-*•1. ab\n ", max_size=20), min_size=20, max_size=60))
+def test_bullets(spark, values):
+    """Every item is the end of a line of its own, in order, and has no bullet in front."""
+    for text, found in zip(values, column(spark, values, "string", responses.bullet_items), strict=True):
+        lines = iter(line.strip() for line in text.split("\n"))
+        assert all(any(line.endswith(item) for line in lines) for item in found)
+        assert all(item and item == item.strip() and item[0] not in "-*•" for item in found)
+
+
+@pytest.mark.parametrize(
+    ("url", "portal"),
+    [
+        ("https://www.stepstone.de/jobs/1", "stepstone"), ("https://de.indeed.com/viewjob", "indeed"), ("https://indeed.com", "indeed"),
+        ("http://a.b.portal.com/x", "portal"), ("https://jobs.example.org/1", "Unknown"), ("", "Unknown"), ("https://www.a-b.com", "a-b"),
+    ],
+)
+def test_portal_cases(spark, url, portal):
+    df = spark.createDataFrame([(url,)], "url string")
+    assert fields.portal(df).first().portal == portal
 
 
 def test_vectors(spark):
