@@ -249,7 +249,6 @@ EVALUATED_TEXTS = [
 # Every line but the first is indented by the given number of blanks.
 PROMPT_INDENT = 16
 STRICT_PROMPT_INDENT = 8
-STRICT_TITLE_CHARS = 1500
 EXPERIENCE_PROMPT = """You are a helpful assistant that extracts structured information from job descriptions.
 Extract the following information from this text {value}:
 

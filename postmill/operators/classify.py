@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,7 @@ class Prototypes:
     """The embedded prototypes as matrices, in category order.
 
     Curated data of a checked size: it is read to the driver once and shipped
-    with the scoring task. ``blocks`` cuts larger sets by category.
+    with the scoring task. ``blocks`` cuts larger sets into several of that size.
     """
 
     def __init__(self, categories: list[str], ords: list[int], examples: list[np.ndarray], contexts: np.ndarray):
@@ -40,7 +40,30 @@ class Prototypes:
     def collect(cls, embedded: DataFrame, max_rows: int = MAX_PROTOTYPES) -> Prototypes:
         rows = embedded.select("category", "ord", "kind", "embedding").limit(max_rows + 1).collect()
         if len(rows) > max_rows:
-            raise ValueError(f"more than {max_rows} prototypes; score them in several sets with merge_ranked()")
+            raise ValueError(f"more than {max_rows} prototypes; cut them with Prototypes.blocks() and use score_blocks()")
+        return cls._of_rows(rows)
+
+    @classmethod
+    def blocks(cls, embedded: DataFrame, max_rows: int = MAX_PROTOTYPES) -> Iterator[Prototypes]:
+        """Sets of at most ``max_rows`` examples each, read one after the other.
+
+        Examples are dealt over the blocks in turn by category; each block brings the contexts of its categories. A category
+        may stand in several blocks: its score is the largest of theirs.
+        """
+        examples = embedded.where(F.col("kind") == "example")
+        number = examples.count()
+        blocks = -(-number // max_rows) or 1
+        place = F.row_number().over(Window.partitionBy("ord").orderBy(F.xxhash64("embedding"))) + F.col("ord")
+        dealt = examples.withColumn("block", F.pmod(place, F.lit(blocks)))
+        for block in range(blocks):
+            mine = dealt.where(F.col("block") == block).drop("block")
+            contexts = embedded.where(F.col("kind") == "context").join(F.broadcast(mine.select("ord").distinct()), "ord", "left_semi")
+            rows = mine.unionByName(contexts).select("category", "ord", "kind", "embedding").collect()
+            if rows:
+                yield cls._of_rows(rows)
+
+    @classmethod
+    def _of_rows(cls, rows: list) -> Prototypes:
         ords = sorted({(r["ord"], r["category"]) for r in rows})
         examples, contexts = [], []
         for n, category in ords:
@@ -131,21 +154,27 @@ def score_ranked(phrases: DataFrame, prototypes: Prototypes, k: int = fv.TOP_K,
     return embedded.mapInPandas(run, T.StructType(kept + [T.StructField("ranked", ranked)]))
 
 
+def score_blocks(phrases: DataFrame, blocks: Iterable[Prototypes], k: int = fv.TOP_K, phrase: str = "phrase") -> DataFrame:
+    """``score_ranked`` over prototypes in several blocks; the columns of the phrases are kept."""
+    parts = [score_ranked(phrases.select(phrase, "embedding"), block, k, phrase) for block in blocks]
+    rest = phrases.drop("embedding")
+    merged = merge_ranked(parts, phrase, k)
+    return rest.join(merged, phrase) if len(rest.columns) > 1 else merged
+
+
 def merge_ranked(parts: Sequence[DataFrame], phrase: str = "phrase", k: int = fv.TOP_K) -> DataFrame:
-    """Ranked lists of several prototype sets as one; for sets too large to ship at once."""
+    """Ranked lists of several prototype sets as one; a category of several sets counts with its largest score."""
     both = parts[0]
     for part in parts[1:]:
         both = both.unionByName(part)
-    best = F.slice(
-        F.array_sort(
-            F.flatten(F.collect_list("ranked")),
-            lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
-            .when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1).otherwise(0),
-        ),
-        1,
-        k,
+    ordered = F.array_sort(
+        F.flatten(F.collect_list("ranked")),
+        lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1)
+        .when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1).otherwise(0),
     )
-    return both.groupBy(phrase).agg(best.alias("ranked"))
+    merged = both.groupBy(phrase).agg(ordered.alias("_all"))
+    first = F.filter("_all", lambda x, i: ~F.exists(F.slice("_all", 1, i), lambda y: y["ord"] == x["ord"]))
+    return merged.select(phrase, F.slice(first, 1, k).alias("ranked"))
 
 
 def max_per_category(scores: DataFrame, phrase: str = "phrase", score: str = "score") -> DataFrame:

@@ -49,7 +49,12 @@ def keys_only_left(left: DataFrame, right: DataFrame, key: Sequence[str] = KEY)
 
 
 def _same_flag(a: Column, b: Column, numbers: bool) -> Column:
-    return a.cast("bigint") == b.cast("bigint") if numbers else a.cast("string") == b.cast("string")
+    return a.try_cast("bigint") == b.try_cast("bigint") if numbers else a.cast("string") == b.cast("string")
+
+
+def _filled(value: Column, kind: T.DataType) -> Column:
+    """A cell, NULL where it is missing: NaN is missing, too."""
+    return F.when(~F.isnan(value), value) if isinstance(kind, (T.FloatType, T.DoubleType)) else value
 
 
 def _same_text(a: Column, b: Column) -> Column:
@@ -72,12 +77,17 @@ def cell_counts(
     columns += [(TEXTS, c) for c in texts if c in left or c in right]
     sums = []
     for n, (scope, name) in enumerate(columns):
-        a = F.col("l")[name] if name in left else None
-        b = F.col("r")[name] if name in right else None
+        a = _filled(F.col("l")[name], left[name]) if name in left else None
+        b = _filled(F.col("r")[name], right[name]) if name in right else None
         tp = fp = fn = tn = F.lit(False)
         if a is not None and b is not None:
-            numbers = isinstance(left[name], T.NumericType) and isinstance(right[name], T.NumericType)
-            same = _same_flag(a, b, numbers) if scope == FLAGS else _same_text(a, b)
+            numbers = [isinstance(side[name], T.NumericType) for side in (left, right)]
+            if scope == TEXTS:
+                same = _same_text(a, b)
+            elif numbers[0] == numbers[1]:
+                same = _same_flag(a, b, numbers[0])
+            else:
+                same = F.lit(False)  # a number and a text are different flags
             same = F.coalesce(same, F.lit(False))
             tp = same
             tn = here & there & a.isNull() & b.isNull()
@@ -183,11 +193,14 @@ def history_rows(scores: DataFrame, run_ts: str | Column) -> DataFrame:
 def history_wide(
     history: DataFrame, flags: Sequence[str] = fv.EVALUATED_FLAGS, texts: Sequence[str] = fv.EVALUATED_TEXTS
 ) -> DataFrame:
-    """One row per run with a column per figure; figures a run lacks are NULL."""
+    """One row per run with a column per figure; figures a run lacks are NULL.
+
+    Figures of the given columns come first, then those of any other column in the history, in order of name.
+    """
     names = [f"{n}_{m}" for n in ("overall", FLAGS, TEXTS, *flags, *texts) for m in ("accuracy", "recall")]
     name = F.when(F.col("scope") == "all", F.lit("overall")).when(
         F.col("column_name") == "all", F.col("scope")
     ).otherwise(F.col("column_name"))
-    return history.select("run_ts", F.concat_ws("_", name, "metric").alias("figure"), "value").groupBy("run_ts").pivot(
-        "figure", names
-    ).agg(F.max("value"))
+    figures = history.select("run_ts", F.concat_ws("_", name, "metric").alias("figure"), "value")
+    others = figures.select("figure").where(~F.col("figure").isin(names)).distinct().orderBy("figure").collect()
+    return figures.groupBy("run_ts").pivot("figure", [*names, *[r.figure for r in others]]).agg(F.max("value"))

@@ -224,13 +224,18 @@ def phrase_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(phrase_name().alias("phrase"), "embedding")
 
 
+def mean_vectors(vectors: DataFrame) -> DataFrame:
+    """The mean vector of every label, as wide as the widest vector."""
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    mean = F.array(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(width)])
+    return vectors.groupBy("label").agg(mean.alias("mean"))
+
+
 def prototype_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per label: its first vectors as examples, and their mean as context. Ten labels, so 60 rows at any scale."""
     vectors = table(spark, sf_dir, "embeddings")
     examples = first_per_key(vectors, ["label"], ["vec_id"], EXAMPLES_PER_LABEL)
-    width = 64
-    mean = F.array(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(width)])
-    contexts = examples.groupBy("label").agg(mean.alias("embedding"))
+    contexts = mean_vectors(examples).withColumnRenamed("mean", "embedding")
     shaped = lambda df, kind: df.select(
         pick(CATEGORIES, F.col("label")).alias("category"), F.col("label").alias("ord"), F.lit(kind).alias("kind"),
         F.col("embedding").cast("array<double>").alias("embedding"),
@@ -242,6 +247,21 @@ def prototypes(spark: SparkSession, sf_dir: str) -> classify.Prototypes:
     return classify.Prototypes.collect(prototype_rows(spark, sf_dir))
 
 
+def untidy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose lists hold texts, numbers, objects and null beside lists, and lists of mixed items."""
+    lists = """concat('{"company":["ACME ', k, '","Berlin"],"note":"frei ', k % 7, '","number":', k % 5, ',"yes":true,"nothing":null,"object":{"b":1,"a":',
+        k % 3, '},"mixed":["x",', k % 11, ',true,null,["y","z"]]}')"""
+    doc = f"""concat('{{"_id":"p', k, '","url":"u', k, '","lists":', {lists}, ',"paragraphs":[]}}')"""
+    return spread(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))).selectExpr("k", f"{doc} AS doc", "if(k % 2 = 0, 'a', 'b') AS collection")
+
+
+def lines_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all orders: whole documents, broken ones, blank lines, and JSON which is no object."""
+    line = """CASE WHEN k % 5 = 0 THEN concat('{"_id":"p', k, '","url":') WHEN k % 7 = 0 THEN '' WHEN k % 11 = 0 THEN concat('[', k, ']')
+        ELSE concat('{"_id":"p', k, '","lists":{}}') END"""
+    return spread(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))).selectExpr(f"{line} AS doc", "if(k % 2 = 0, 'a', 'b') AS collection")
+
+
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors as phrases of small postings: eight phrases each."""
     return spread(table(spark, sf_dir, "embeddings")).select(

@@ -9,17 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postmill import fixed_values as fv
 from postmill.functions.names import named
 from postmill.operators import classify, fields, geo, hooks, prompts, responses
-from postmill.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, first_per_key, join_small, lookup_by_key, run_counters
+from postmill.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, first_per_key, join_small, lookup_by_key
 from postmill.schemas import RESULT_COLUMNS
-from postmill.session import write_stage
+from postmill.session import job, write_stage
 from postmill.sinks import files, result_table
-from postmill.sources.collections import canonical, with_ids, with_order
+from postmill.sources.collections import canonical, is_document, with_ids, with_order
 
 RESPONSE_COLUMNS = ["experience_response", "benefits_response", "branch_response"]
 
@@ -175,14 +175,35 @@ def load(
 ) -> DataFrame:
     """Load ``raw`` ``(doc, collection)`` as run ``run``; returns the run counters.
 
+    Lines which are no JSON objects are rejected: kept beside the table and counted, never loaded.
     Runs must be numbered upwards from 1. Repeating a run gives the same table.
     """
-    result_table.create(spark, table)
-    documents = new_documents(raw, result_table.earlier_ids(spark, table, run), inputs.broadcast_rows)
-    staged = write_stage(derive(documents, inputs), "derived")
-    decided = decide_phrases(staged, inputs)
-    if log_path:
-        decided = write_stage(decided, "decided")
-        files.append_log(classify.score_log(decided, inputs.threshold), log_path, run)
-    result_table.append_run(result_rows(staged, decided, inputs), table, run)
-    return run_counters(raw, staged)
+    with job(spark):
+        result_table.create(spark, table)
+        total = write_rejects(raw, table, run)
+        documents = new_documents(raw.where(is_document()), result_table.earlier_ids(spark, table, run), inputs.broadcast_rows)
+        staged = write_stage(derive(documents, inputs), "derived")
+        decided = decide_phrases(staged, inputs)
+        if log_path:
+            decided = write_stage(decided, "decided")
+            files.append_log(classify.score_log(decided, inputs.threshold), log_path, run)
+        result_table.append_run(result_rows(staged, decided, inputs), table, run)
+        new, rejected = staged.count(), rejects(spark, table).where(F.col("run") == run).count()
+    counted = [(total - rejected, new, total - rejected - new, rejected)]
+    return spark.createDataFrame(counted, "total_jobs bigint, new_jobs bigint, skipped_jobs bigint, rejected_lines bigint")
+
+
+def write_rejects(raw: DataFrame, table: str, run: int) -> int:
+    """Lines which are no JSON objects, kept with their text as ``rejects/run=<n>``; returns how many lines ``raw`` has.
+
+    Lines are counted by the pass that looks for rejects. Writing a run again replaces it.
+    """
+    lines = Observation()
+    seen = raw.select("collection", "doc").observe(lines, F.count(F.lit(1)).alias("lines"))
+    seen.where(~is_document()).write.mode("overwrite").parquet(f"{table}/rejects/run={run}")
+    return lines.get["lines"]
+
+
+def rejects(spark: SparkSession, table: str) -> DataFrame:
+    """``(collection, doc, run)`` of all rejected lines."""
+    return spark.read.schema("collection string, doc string, run long").parquet(f"{table}/rejects")

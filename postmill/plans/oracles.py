@@ -234,7 +234,7 @@ lab AS (
     CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS homeoffice, CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS shares,
     places[1] AS stadt, {POSITION} AS position, {DATE} AS datum FROM pl),
 va AS (SELECT * FROM lab WHERE k % 3 <> 0),
-ex0 AS (SELECT * FROM lab WHERE k % 5 <> 0),
+ex0 AS (SELECT * FROM lab WHERE k % 5 <> 0 OR k % 15 = 0),
 xa AS (
   SELECT k, job_url, url_key, company, CASE WHEN k % 11 = 0 THEN 1 - boni ELSE boni END AS boni,
     CASE WHEN k % 11 = 0 THEN 1 - gehalt13 ELSE gehalt13 END AS gehalt13,
@@ -408,7 +408,7 @@ def oracle_sql() -> dict[str, str]:
             f"""length(d) AS strict_prompt_chars FROM (
               SELECT _id, {prompt(fv.EXPERIENCE_PROMPT, 16, 'description')} AS a,
                 {prompt(fv.BENEFITS_PROMPT, 16, 'benefits_text')} AS b, {prompt(fv.BRANCH_PROMPT, 16, 'job_title')} AS c,
-                {prompt(fv.BRANCH_PROMPT, 8, 'substr(job_title, 1, 1500)')} AS d FROM f)""",
+                {prompt(fv.BRANCH_PROMPT, 8, 'job_title')} AS d FROM f)""",
         ),
         "location_split": with_(PLACES, "SELECT _id, place_pos, place FROM pl"),
         "gazetteer_index": with_(GAZ, "SELECT * FROM gi"),
@@ -444,6 +444,34 @@ def oracle_sql() -> dict[str, str]:
             """SELECT 'v' || vec_id AS phrase, best_category, round(best_score, 4) AS best_score,
                CAST(assigned AS BIGINT) AS assigned FROM best""",
         ),
+        "vector_best_blocks": with_(
+            VEC,
+            """SELECT 'v' || vec_id AS phrase, best_category, round(best_score, 4) AS best_score,
+               CAST(assigned AS BIGINT) AS assigned FROM best""",
+        ),
+        "canonical_untidy": """
+            SELECT 'p' || k AS _id, CASE WHEN k % 2 = 0 THEN 'a' ELSE 'b' END AS collection, section, items
+            FROM (SELECT o_orderkey AS k FROM orders), LATERAL (VALUES
+              ('company', 'ACME ' || k || '|Berlin'), ('note', 'frei ' || k % 7), ('number', (k % 5)::VARCHAR), ('yes', 'True'), ('nothing', ''),
+              ('object', 'a|b'), ('mixed', 'x|' || k % 11 || '|True|None|y+z')) AS v(section, items)""",
+        "load_rejects": """
+            SELECT run::BIGINT AS run, collection, doc FROM (
+              SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'a' ELSE 'b' END AS collection,
+                CASE WHEN o_orderkey % 5 = 0 THEN '{"_id":"p' || o_orderkey || '","url":' WHEN o_orderkey % 7 = 0 THEN ''
+                     WHEN o_orderkey % 11 = 0 THEN '[' || o_orderkey || ']' END AS doc
+              FROM orders) x, (VALUES (1), (2)) AS r(run)
+            WHERE doc IS NOT NULL AND (run = 2 OR collection = 'a')""",
+        "eval_missing_cells": """
+            WITH l AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 7 <> 0 THEN quality END AS quality, toxic, quality AS kind FROM labels),
+            r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE 1 END AS quality, CASE WHEN doc_id % 3 <> 0 THEN 0 END AS toxic FROM documents),
+            j AS (SELECT l.doc_id AS lk, r.doc_id AS rk, l.quality AS lq, r.quality AS rq, l.toxic AS lt, r.toxic AS rt, l.kind AS lc FROM l FULL JOIN r USING (doc_id)),
+            cells AS (
+              SELECT 'quality' AS column_name, lk, rk, lq AS a, rq AS b, lq IS NOT DISTINCT FROM rq AND lq IS NOT NULL AS same FROM j
+              UNION ALL SELECT 'toxic', lk, rk, lt, rt, lt IS NOT DISTINCT FROM rt AND lt IS NOT NULL FROM j
+              UNION ALL SELECT 'kind', lk, rk, lc, CASE WHEN rk IS NOT NULL THEN 1 END, false FROM j)
+            SELECT column_name, count_if(same)::BIGINT AS tp, count_if(b IS NOT NULL AND NOT same)::BIGINT AS fp, count_if(a IS NOT NULL AND NOT same)::BIGINT AS fn,
+              count_if(lk IS NOT NULL AND rk IS NOT NULL AND a IS NULL AND b IS NULL)::BIGINT AS tn
+            FROM cells GROUP BY column_name""",
         "vector_top5": with_(
             VEC, "SELECT 'v' || vec_id AS phrase, rank, category, round(combined, 4) AS score FROM rk WHERE rank <= 5"
         ),
@@ -539,7 +567,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "upsert": with_(
             PLAIN
-            + f""", runs AS (SELECT 1 AS run, * FROM rows1 WHERE k % 2 = 1 UNION ALL SELECT 2, * FROM rows1 WHERE k % 3 <> 1),
+            + f""", runs AS (SELECT 1 AS run, * FROM rows1 WHERE k % 2 = 1 OR k % 3 = 1 UNION ALL SELECT 2, * FROM rows1 WHERE k % 3 <> 1),
               lastrow AS (SELECT *, row_number() OVER (PARTITION BY url, place, time_model, position
                 ORDER BY run DESC, collection DESC, _id DESC, place_pos DESC, tm_pos DESC) AS rn FROM runs)""",
             f"""SELECT url AS "Job_URL", place AS "Stadt", time_model AS "Zeitmodell", position AS "Position", _id AS "MongoDB_ID",

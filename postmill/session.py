@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,10 +35,13 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; one of our own only where that is unset, as in tests."""
+    """The folder named in ``spark.checkpoint.dir``; where that is unset one of our own, but only where all runs on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
     application = spark.sparkContext.applicationId
     if application not in _own_folder:
         _own_folder[application] = tempfile.mkdtemp(prefix="postmill-")
@@ -47,6 +53,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "postmill", uuid.uuid4().hex, name)
 
 
+_stages_of_jobs: list[list[str]] = []
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside are removed at its end, each by its own path. What leaves the job must not read them."""
+    _stages_of_jobs.append([])
+    try:
+        yield
+    finally:
+        for path in _stages_of_jobs.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
@@ -54,5 +75,7 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     still get column pruning and pushed filters.
     """
     path = work_path(df.sparkSession, name)
+    if _stages_of_jobs:
+        _stages_of_jobs[-1].append(os.path.dirname(path))
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -134,12 +134,12 @@ def test_load_twice_and_in_parts(spark, tmp_path, inputs):
     raw = read_collections(spark, {"c": str(folder)})
     path = str(tmp_path / "t")
     counters = load_plan.load(spark, raw, path, 1, inputs, log_path=str(tmp_path / "log")).first()
-    assert tuple(counters) == (16, 15, 1)
+    assert tuple(counters) == (16, 15, 1, 0)
     once = whole(spark, path)
     assert len({r[2] for r in once}) == 13 and any("Mapped_1" in r for r in once)
     assert spark.read.parquet(str(tmp_path / "log")).where("incentive = 'Laptop neu'").count() == 3
 
-    assert tuple(load_plan.load(spark, raw, path, 1, inputs).first()) == (16, 15, 1)
+    assert tuple(load_plan.load(spark, raw, path, 1, inputs).first()) == (16, 15, 1, 0)
     assert whole(spark, path) == once
     again = load_plan.load(spark, raw, path, 2, inputs).first()
     assert (again.total_jobs, again.new_jobs, again.skipped_jobs) == (16, 3, 13)
