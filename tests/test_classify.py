@@ -117,3 +117,14 @@ def test_logged_scores_give_the_logged_decisions(spark):
     assert [(decided[p].best_category, decided[p].best_score, decided[p].assigned) for p, *_ in logged] == [
         (c, s, a) for _, c, s, a in logged
     ]
+
+
+def test_blocks_rank_like_one_set(spark):
+    rows = [(c, n, "example", [float(n + j), 1.0, float(j * j % 5)]) for n, c in enumerate("abcd") for j in range(5)]
+    rows += [(c, n, "context", [1.0, float(n), 0.5]) for n, c in enumerate("abcd")]
+    embedded = spark.createDataFrame(rows, "category string, ord int, kind string, embedding array<double>")
+    phrases = spark.createDataFrame([(f"p{i}", [float(i % 3), 1.0, float(i % 4)]) for i in range(12)], "phrase string, embedding array<double>")
+    whole = {r.phrase: [(x.ord, round(x.score, 9)) for x in r.ranked] for r in classify.score_ranked(phrases, classify.Prototypes.collect(embedded), 3).collect()}
+    for size in (3, 7, 100):
+        parts = classify.score_blocks(phrases, classify.Prototypes.blocks(embedded, size), 3)
+        assert {r.phrase: [(x.ord, round(x.score, 9)) for x in r.ranked] for r in parts.collect()} == whole

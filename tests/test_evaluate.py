@@ -48,3 +48,12 @@ def test_column_known_to_one_side_only(spark):
 def test_nothing_to_compare(spark):
     rows = evaluate.with_scores(spark.createDataFrame([(0, 0, 0, 0), (0, 1, 0, 1)], "tp int, fp int, fn int, tn int")).collect()
     assert [(r.accuracy, r.recall) for r in rows] == [(1.0, 1.0), (0.5, 1.0)]
+
+
+def test_missing_and_unlike_cells(spark):
+    """NaN is missing and never overflows; a number and a text are different flags."""
+    left = spark.createDataFrame([(1, float("nan"), 1, 1.0), (2, 1.0, 0, float("inf")), (3, None, None, 2.0)], "k int, a double, b int, c double")
+    right = spark.createDataFrame([(1, float("nan"), "1", 1.0), (2, 1.0, None, 1.0), (3, float("nan"), None, 2.0)], "k int, a double, b string, c double")
+    cells = evaluate.cell_counts(evaluate.reconcile(left, right, ["k"]), ["a", "b", "c"], [])
+    found = {r.column_name: (r.tp, r.fp, r.fn, r.tn) for r in cells.collect()}
+    assert found == {"a": (1, 0, 0, 2), "b": (0, 1, 2, 1), "c": (2, 1, 1, 0)}

@@ -13,6 +13,7 @@ from postmill.plans import evaluation
 from postmill.plans import fixtures as fx
 from postmill.plans import load as load_plan
 from postmill.schemas import RESULT_COLUMNS
+from postmill.session import shared_folder
 from postmill.sinks import files, result_table
 from postmill.sources.collections import read_collections
 from postmill.streaming import incremental
@@ -102,6 +103,13 @@ def test_history_grows(spark, tmp_path):
     assert rows["2025-01-02 00:00:00"].Boni_recall == 0.0 and rows["2025-01-02 00:00:00"]["13._Gehalt_recall"] is None
 
 
+def test_history_keeps_other_columns(spark, tmp_path):
+    path = str(tmp_path / "h")
+    table = spark.createDataFrame([("u", "c", 1, 1)], "Job_URL string, Unternehmen string, Extra int, row_no int")
+    evaluation.run(table, table, path, "2025-01-01 00:00:00", flags=["Extra"], texts=[])
+    assert files.read_history(spark, path).first().Extra_accuracy == 1.0
+
+
 DOCS = [
     {"_id": f"d{n}", "url": f"https://www.p{n % 4}.de/{n % 6}", "lists": {"company": [["C", ["Ulm", "Paris, Ulm", "Nix"][n % 3]]]},
      "paragraphs": [["teilzeit", "ganztags und teilzeit"][n % 2]], "benefits": ["Dienstrad", f"Leistung {n + 20}"][: n % 3]}
@@ -151,6 +159,39 @@ def test_load_twice_and_in_parts(spark, tmp_path, inputs):
     assert sorted(r[2:] for r in whole(spark, other)) == sorted(r[2:] for r in once)
 
 
+def test_rejected_lines(spark, tmp_path, inputs):
+    """Broken and blank lines are kept and counted, never loaded, and never new again."""
+    folder, lines = landed(tmp_path, "rejects", DOCS[:3])
+    (folder / "a.json").write_text("\n".join([lines[0], '{"_id": "broken', "", *lines[1:], "[1]"]), encoding="utf-8")
+    raw, path = read_collections(spark, {"c": str(folder)}), str(tmp_path / "t")
+    assert tuple(load_plan.load(spark, raw, path, 1, inputs).first()) == (3, 3, 0, 3)
+    assert tuple(load_plan.load(spark, raw, path, 2, inputs).first()) == (3, 0, 3, 3)
+    assert sorted((r.doc, r.run) for r in load_plan.rejects(spark, path).collect()) == sorted(
+        (doc, run) for doc in ('{"_id": "broken', "", "[1]") for run in (1, 2)
+    )
+    assert all(r[2] != "" for r in whole(spark, path))
+
+
+def test_job_leaves_no_stage(spark, tmp_path, inputs):
+    folder, lines = landed(tmp_path, "stages", DOCS[:3])
+    (folder / "a.json").write_text("\n".join(lines), encoding="utf-8")
+    work = os.path.join(shared_folder(spark), "postmill")
+    before = set(os.listdir(work)) if os.path.exists(work) else set()
+    load_plan.load(spark, read_collections(spark, {"c": str(folder)}), str(tmp_path / "t"), 1, inputs, log_path=str(tmp_path / "log")).collect()
+    assert set(os.listdir(work)) == before
+
+
+def test_stage_folder_must_be_shared(spark):
+    class Context:
+        master, applicationId = "spark://host:7077", "x"
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
 def test_stream_equals_batch(spark, tmp_path, inputs):
     docs = DOCS[:12]
     batch_folder, lines = landed(tmp_path, "batch", docs)

@@ -67,3 +67,12 @@ def test_tables(spark, tmp_path):
     spark.createDataFrame([(1, "a b")], ["x y", "z"]).write.option("header", True).csv(path)
     assert table_exists(spark, path)
     assert underscore_names(read_csv(spark, path)).first().asDict() == {"x_y": 1, "z": "a b"}
+
+
+def test_one_odd_value_keeps_the_other_lists(spark):
+    doc = '{"_id":"1","lists":{"company":["ACME","Berlin"],"note":"freitext","n":1,"o":{"b":1,"a":2},"z":null,"m":[true,null,["x"],{"k":1}]}}'
+    lists = canonical(spark.createDataFrame([(doc, "c")], "doc string, collection string")).first().lists
+    plain = {k: [i["items"] for i in v] for k, v in lists.items()}
+    assert plain == {
+        "company": [["ACME"], ["Berlin"]], "note": [["freitext"]], "n": [["1"]], "o": [["a"], ["b"]], "z": [], "m": [["True"], ["None"], ["x"], ['{"k":1}']],
+    }
