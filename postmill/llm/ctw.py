@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from postmill.llm.common import LOWER, bucket_count, bucket_of, block_ids, ranges, segments, text_blocks, word_hashes, words
 from postmill.session import write_stage
 
-DEPTH = 5
-MAX_GRAMS = 1_500_000
-HEAD = 1_000_000
+DEPTH = 6
+MAX_GRAMS = 400_000
+HEAD = 500_000
 END = 0xFF
 PIECE = 1 << 20
 LEVELS = 40
