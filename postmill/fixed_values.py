@@ -321,6 +321,7 @@ Regeln:
 3. Im Zweifelsfall "Andere"
 
 Antworte NUR im JSON-Format: {"Kategorie": "<Kategorie>"} Schreibe keine Beispiele, Einleitungen oder Erklärungen."""
+ENCODE_BATCH = 4
 GENERATOR_SETTINGS = {
     "experience": {"max_new_tokens": 15, "do_sample": True, "temperature": 0.1, "repetition_penalty": 1.2},
     "benefits": {"max_new_tokens": 350, "do_sample": False, "repetition_penalty": 1.1},
@@ -328,3 +329,18 @@ GENERATOR_SETTINGS = {
         "max_new_tokens": 20, "do_sample": True, "temperature": 0.1, "repetition_penalty": 1.1, "top_p": 0.95,
     },
 }
+
+# --- fixed values: patterns ---------------------------------------------------
+FIRST_OBJECT = r"(?s)\{.*?\}"
+WIDEST_OBJECT = r"(?s)\{.*\}"
+PHRASE_ARRAY = r'(?sU)"benefits":\s*\[(.*?)(?:\]|}|$)'
+BULLET = r"(?U)^(\s*[-*•]|\d+\.)\s*"
+BULLET_MARKS = r"(?U)^[\s\-*•]+\s*"
+ESCAPE = r"\\x[0-9A-Fa-f]{2}"
+PORTAL_BY_WWW = r"www\.(.*?)\."
+PORTAL_BY_COM = r"(?U)https?://(?:[\w-]+\.)*([\w-]+)\.com"
+PLACE_SEPARATORS = r"[;/•]| und | oder "
+PLACE_REMARK = r"(?iuU)\bbei\b[^\n]*"
+PLACE_BRACKETS = r"\([^\n]*?\)"
+PLACE_COMMA = r"(?U)\s*,\s*"
+PLACE_SPLIT = r"(?U),\s*(?![^(]*\))"

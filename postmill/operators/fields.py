@@ -206,7 +206,7 @@ def size_bucket(df: DataFrame, out: str = "size_bucket", size: str = "size_raw",
 
 def portal(df: DataFrame, out: str = "portal", url: str = "url") -> DataFrame:
     """Name of the site a URL points to."""
-    by_www, by_com = r"www\.(.*?)\.", r"(?U)https?://(?:[\w-]+\.)*([\w-]+)\.com"
+    by_www, by_com = fv.PORTAL_BY_WWW, fv.PORTAL_BY_COM
     u = F.col(url)
     return df.withColumn(
         out,

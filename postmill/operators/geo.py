@@ -17,15 +17,15 @@ PLACE_VALUES = ["state", "country"]
 
 def normalise_places(text: Column) -> Column:
     """Separators become commas; remarks and brackets go; blanks around commas are set right."""
-    text = F.regexp_replace(text, r"[;/•]| und | oder ", ", ")
-    text = F.regexp_replace(text, r"(?iuU)\bbei\b[^\n]*", "")
-    text = F.regexp_replace(text, r"\([^\n]*?\)", "")
-    return tx.strip(F.regexp_replace(text, r"(?U)\s*,\s*", ", "))
+    text = F.regexp_replace(text, fv.PLACE_SEPARATORS, ", ")
+    text = F.regexp_replace(text, fv.PLACE_REMARK, "")
+    text = F.regexp_replace(text, fv.PLACE_BRACKETS, "")
+    return tx.strip(F.regexp_replace(text, fv.PLACE_COMMA, ", "))
 
 
 def split_places(text: Column) -> Column:
     """Split at commas outside brackets; the empty text gives one empty name."""
-    return F.split(text, r"(?U),\s*(?![^(]*\))", -1)
+    return F.split(text, fv.PLACE_SPLIT, -1)
 
 
 def place_names(df: DataFrame, location: str = "location", out: str = "places") -> DataFrame:
@@ -79,12 +79,6 @@ def gazetteer_index(
     return named.select("city_key", "state", "country", "state_2", "country_2")
 
 
-def lookup_direct(names: DataFrame, index: DataFrame, name: str = "place") -> DataFrame:
-    """State and country of a name, ``Unknown`` twice when the gazetteer lacks it."""
-    found = names.join(index.select("city_key", "state", "country"), F.lower(name) == F.col("city_key"), "left")
-    return found.withColumns({c: F.coalesce(F.col(c), F.lit(fv.UNKNOWN_PLACE)) for c in PLACE_VALUES}).drop("city_key")
-
-
 def resolve_names(names: DataFrame, index: DataFrame, translations: DataFrame, name: str = "place") -> DataFrame:
     """State and country for distinct place names: as written, else translated, else unresolved."""
     direct = index.select("city_key", F.col("state").alias("_s1"), F.col("country").alias("_c1"))

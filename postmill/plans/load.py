@@ -6,11 +6,13 @@ narrow result, classify distinct phrases, resolve distinct places, fan out, appe
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postmill import fixed_values as fv
 from postmill.functions.names import named
@@ -53,17 +55,19 @@ def answers_from_table(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
     return lambda postings: postings.join(keyed, "ord", "left")
 
 
-def answers_from_models(open_experience, open_benefits, open_branch) -> Callable[[DataFrame], DataFrame]:
-    """Responses by three generator hooks, opened once per partition each."""
+def answers_from_models(
+    open_experience, open_benefits, open_branch, settings: Mapping[str, Mapping] = fv.GENERATOR_SETTINGS, batch_size: int = hooks.BATCH_SIZE
+) -> Callable[[DataFrame], DataFrame]:
+    """Responses by three generator hooks, opened once per partition each with their settings as keywords.
+
+    Only the key and the prompts cross to Python, once for all three.
+    """
+    openers = {"experience": open_experience, "benefits": open_benefits, "branch": open_branch}
+    asked = {f"{n}_response": (f"{n}_prompt", partial(hook, **settings.get(n, {}))) for n, hook in openers.items()}
 
     def answer(postings: DataFrame) -> DataFrame:
-        df = prompts.prompts(postings)
-        for prompt, out, hook in zip(
-            ("experience_prompt", "benefits_prompt", "branch_prompt"), RESPONSE_COLUMNS,
-            (open_experience, open_benefits, open_branch),
-        ):
-            df = hooks.generate(df, prompt, out, hook).drop(prompt)
-        return df
+        prompted = prompts.prompts(postings).select("ord", *[text for text, _ in asked.values()])
+        return postings.join(hooks.add_by_models(prompted, asked, T.StringType(), batch_size), "ord", "left")
 
     return answer
 

@@ -128,3 +128,21 @@ def test_blocks_rank_like_one_set(spark):
     for size in (3, 7, 100):
         parts = classify.score_blocks(phrases, classify.Prototypes.blocks(embedded, size), 3)
         assert {r.phrase: [(x.ord, round(x.score, 9)) for x in r.ranked] for r in parts.collect()} == whole
+
+
+def test_three_prompts_in_one_pass(spark):
+    """Openers get their settings, models their batch size, and only key and prompts cross to Python."""
+    from postmill.plans.load import answers_from_models
+
+    def opener(name):
+        def open_model(**settings):
+            return lambda texts: [f"{name} {settings['max_new_tokens']} {len(texts)} {t.count('wanted')}" for t in texts]
+
+        return open_model
+
+    df = spark.createDataFrame([(f"d{n}", "wanted", "wanted wanted", "none", n) for n in range(5)], "ord string, description string, benefits_text string, job_title string, other int")
+    rows = answers_from_models(opener("e"), opener("b"), opener("c"), batch_size=5)(df.coalesce(1)).orderBy("ord").collect()
+    assert [r.other for r in rows] == list(range(5))
+    assert {r.experience_response for r in rows} == {"e 15 5 1"}
+    assert {r.benefits_response for r in rows} == {"b 350 5 2"}
+    assert {r.branch_response for r in rows} == {"c 20 5 0"}

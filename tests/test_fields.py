@@ -151,7 +151,8 @@ def test_prompt_keeps_whole_text(spark, template):
     assert text.replace("\n    ", "\n").replace(long, "{value}") == template
 
 
-def test_strict_prompt_cuts_title(spark):
+def test_strict_prompt_keeps_the_title(spark):
     df = texts(spark, "x" * 2000).withColumnRenamed("t", "job_title")
-    prompt = prompts.strict_branch_prompt(df).first().branch_prompt
-    assert "x" * 1500 in prompt and "x" * 1501 not in prompt
+    assert "x" * 2000 in prompts.strict_branch_prompt(df).first().branch_prompt
+    cut = prompts.strict_branch_prompt(df, max_chars=1500).first().branch_prompt
+    assert "x" * 1500 in cut and "x" * 1501 not in cut
