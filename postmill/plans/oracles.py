@@ -346,7 +346,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST({'greatest(coalesce(fl_%d, 0), remote)' % n if c == 'Homeoffice' else 'coalesce(fl_%d, 0)' % n} AS BIGINT) AS flag_{n}"
         for n, c in enumerate(fv.FLAG_COLUMNS)
     )
-    return {
+    sql = {
         "postings_by_portal": with_(
             P,
             f"SELECT portal, size_bucket, time_model, count(*) AS n FROM (SELECT {portal_case('url')} AS portal, "
@@ -593,3 +593,4 @@ def oracle_sql() -> dict[str, str]:
                FROM full2 JOIN resp ON resp._id = full2._id LEFT JOIN flags ON flags._id = full2._id WHERE rn = 1""",
         ),
     }
+    return sql | {"stream_load": sql["load_postings"], "compacted_table": sql["upsert"]}

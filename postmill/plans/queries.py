@@ -601,6 +601,21 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return now.select(*[F.col(c) for c in fv.RESULT_KEY], "MongoDB_ID", "Unternehmen", F.col("Unternehmensgröße").alias("size_bucket"))
 
 
+@query
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of ``upsert`` with the first one compacted to a base before the second comes."""
+    path, base = work_path(spark, "result"), work_path(spark, "base")
+    result_table.create(spark, path)
+    rows = write_stage(_table_rows(spark, sf_dir), "rows")
+    number = F.substring("MongoDB_ID", 2, 20).cast("bigint")
+    result_table.append_run(rows.where((number % 2 == 1) | (number % 3 == 1)), path, 1)
+    result_table.compact(spark, path, base, 1)
+    for _ in range(2):
+        result_table.append_run(rows.where(number % 3 != 1), base, 2)
+    now = result_table.current(spark, base)
+    return now.select(*[F.col(c) for c in fv.RESULT_KEY], "MongoDB_ID", "Unternehmen", F.col("Unternehmensgröße").alias("size_bucket"))
+
+
 @query
 def export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result table exported as CSV and read back."""
@@ -640,7 +655,26 @@ def load_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = fx.load_inputs(spark, sf_dir)
     load_plan.load(spark, raw.where(F.col("k") % 2 == 0).drop("k"), path, 1, inputs)
     load_plan.load(spark, raw.drop("k"), path, 2, inputs)
+    return _loaded(spark, path)
+
+
+def _loaded(spark: SparkSession, path: str) -> DataFrame:
+    """The current result table with plain column names."""
     now = result_table.current(spark, path)
     flags = [big(named(c)).alias(f"flag_{n}") for n, c in enumerate(fv.FLAG_COLUMNS)]
     texts = [F.col(c).alias(c.replace("ö", "oe").replace("ß", "ss").replace("ä", "ae")) for c in fv.RESULT_TEXT_COLUMNS]
     return now.select(*texts, big(fv.EXPERIENCE_COLUMN).alias("experience"), fv.BRANCH_COLUMN, *flags, "others")
+
+
+@query
+def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load job over landed files: two landings, the second brings all documents of the first again."""
+    path, checkpoint, log = (work_path(spark, n) for n in ("result", "checkpoint", "log"))
+    raw, inputs = fx.documents(spark, sf_dir), fx.load_inputs(spark, sf_dir)
+    folders = {c: work_path(spark, c) for c in ("stepstone", "indeed")}
+    for landing in (raw.where(F.col("k") % 2 == 0), raw):
+        for collection, folder in folders.items():
+            landing.where(F.col("collection") == collection).select("doc").write.mode("append").text(folder)
+        streams = [incremental.read_landed(spark, folder, collection) for collection, folder in folders.items()]
+        incremental.load_available(streams[0].unionByName(streams[1]), path, checkpoint, inputs, log_path=log)
+    return _loaded(spark, path)

@@ -19,7 +19,9 @@ def read_landed(spark: SparkSession, folder: str, collection: str, max_files: in
     return reader.text(folder).select(F.col("value").alias("doc"), F.lit(collection).alias("collection"))
 
 
-def load_available(stream: DataFrame, table: str, checkpoint: str, inputs: LoadInputs, first_run: int = 1) -> None:
+def load_available(
+    stream: DataFrame, table: str, checkpoint: str, inputs: LoadInputs, first_run: int = 1, log_path: str | None = None
+) -> None:
     """Load everything that has arrived since the last call, then stop.
 
     The checkpoint holds which files are done; a batch which is repeated after a
@@ -29,7 +31,7 @@ def load_available(stream: DataFrame, table: str, checkpoint: str, inputs: LoadI
     create(stream.sparkSession, table)
 
     def batch(documents: DataFrame, batch_id: int) -> None:
-        load(documents.sparkSession, documents, table, first_run + batch_id, inputs)
+        load(documents.sparkSession, documents, table, first_run + batch_id, inputs, log_path)
 
     query = (
         stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
