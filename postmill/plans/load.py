@@ -104,12 +104,12 @@ def derive(documents: DataFrame, inputs: LoadInputs) -> DataFrame:
     """Narrow derived rows, one per document."""
     postings = fields.rule_fields(fields.with_texts(canonical(documents)), inputs.as_of)
     postings = fields.direct_benefits(fields.benefits_text(fields.description(postings)))
-    # Of documents with the same id the first one counts. Most of their columns are
+    # Of documents with the same id the first one of the scan counts. Most of their columns are
     # not read below, so that narrow rows are compared, and each task drops its
     # repeats before the shuffle, which the join with the answers then uses as well.
     once = first_per_key(
         postings.drop("lists", "paragraphs", fields.LINES, fields.PARAGRAPHS),
-        ["ord"], ["collection", "url", "job_title", "posting_date"],
+        ["ord"], ["scan"],
     )
     read = inputs.answer(once)
     read = responses.branch(responses.phrases(responses.experience(read)))

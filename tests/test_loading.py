@@ -159,6 +159,15 @@ def test_load_twice_and_in_parts(spark, tmp_path, inputs):
     assert sorted(r[2:] for r in whole(spark, other)) == sorted(r[2:] for r in once)
 
 
+def test_first_scanned_document_of_an_id_wins(spark, tmp_path, inputs):
+    docs = [{"_id": "same", "url": "https://www.z.de/1", "Job Title": "first"}, {"_id": "same", "url": "https://www.a.de/1", "Job Title": "second"}]
+    folder, lines = landed(tmp_path, "repeats", docs)
+    (folder / "a.json").write_text("\n".join(lines), encoding="utf-8")
+    path = str(tmp_path / "t")
+    load_plan.load(spark, read_collections(spark, {"c": str(folder)}), path, 1, inputs)
+    assert {(r.Job_URL, r.Job_Titel) for r in result_table.current(spark, path).collect()} == {("https://www.z.de/1", "first")}
+
+
 def test_rejected_lines(spark, tmp_path, inputs):
     """Broken and blank lines are kept and counted, never loaded, and never new again."""
     folder, lines = landed(tmp_path, "rejects", DOCS[:3])
@@ -219,11 +228,11 @@ def test_stream_equals_batch(spark, tmp_path, inputs):
 
 def test_models_as_hooks(spark, inputs):
     answers = load_plan.answers_from_models(
-        lambda: (lambda prompts: ['{"Experience_Required": 1}' for _ in prompts]),
-        lambda: (lambda prompts: ['{"benefits": ["A"]}' for _ in prompts]),
-        lambda: (lambda prompts: ['{"Kategorie": "Recht"}' for _ in prompts]),
+        lambda **settings: (lambda prompts: ['{"Experience_Required": 1}' for _ in prompts]),
+        lambda **settings: (lambda prompts: ['{"benefits": ["A"]}' for _ in prompts]),
+        lambda **settings: (lambda prompts: ['{"Kategorie": "Recht"}' for _ in prompts]),
     )
-    df = spark.createDataFrame([("d", "b", "t")], "description string, benefits_text string, job_title string")
+    df = spark.createDataFrame([("1", "d", "b", "t")], "ord string, description string, benefits_text string, job_title string")
     row = answers(df).first()
     assert [row[c] for c in load_plan.RESPONSE_COLUMNS] == ['{"Experience_Required": 1}', '{"benefits": ["A"]}', '{"Kategorie": "Recht"}']
     vectors = load_plan.vectors_from_model(lambda: (lambda batch: [[1.0] * 64 for _ in batch]))
