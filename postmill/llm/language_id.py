@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.common import LOWER, text_blocks, whole_row
 from postmill.operators.joins import first_per_key
+from postmill.session import write_stage
 
 ORDERS = (2, 3, 4)
 SLOT_BITS = 15
@@ -100,11 +101,15 @@ def fit(documents: DataFrame, learn: Column, fit_rows: int = FIT_ROWS, per_langu
     labelled = documents.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", "text").alias("h"), "text"
     )
-    number = labelled.select("lang").distinct().count()
+    counts = write_stage(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    number = counts.count()
     if not number:
         return None
     each = max(1, min(per_language, fit_rows // number))
-    chosen = first_per_key(labelled.select("lang", "h").distinct(), ["lang"], ["h"], each)
+    # of a frequent language only hashes below a limit can be among the smallest: four times as many as are wanted
+    share = F.shiftrightunsigned("h", 1).cast("double") / F.lit(float(1 << 63))
+    near = labelled.select("lang", "h").join(counts, "lang").where(share * F.col("n") < 4 * each + 40).select("lang", "h").distinct()
+    chosen = first_per_key(near, ["lang"], [F.shiftrightunsigned("h", 1)], each)
     texts = labelled.join(F.broadcast(chosen), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
     rows = texts.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(_bits, "lang string, bits binary")
     rows = sorted((r["lang"], bytes(r["bits"])) for r in rows.collect())
