@@ -32,7 +32,8 @@ DEPTH = 6
 MAX_GRAMS = 400_000
 HEAD = 500_000
 END = 0xFF
-PIECE = 1 << 20
+PIECE = 1 << 19
+SCORE_BYTES = 2 << 20
 LEVELS = 40
 NO_ID = (1 << 63) - 1
 
@@ -250,7 +251,7 @@ def _scores(shared, buckets: int) -> Callable:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, head_keys, head_logs, known_end, log_end = shared.value
         slots, ids = tree.slots(), block_ids()
-        for batch, data, offsets in text_blocks(batches):
+        for batch, data, offsets in text_blocks(batches, max_bytes=SCORE_BYTES):
             block = next(ids)
             starts, ends, row = words(data, offsets)
             stream, limits = byte_stream(data, starts, ends, row, batch.num_rows)
