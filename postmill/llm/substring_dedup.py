@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import (
-    bucket_count, bucket_of, block_ids, mix, pack_keys, ranges, segments, text_blocks, unpack_keys, window_hashes, word_hashes, words,
+    bucket_count, bucket_of, block_ids, mix, pack_keys, ranges, segments, text_blocks, unpack_keys, whole_row, window_hashes, word_hashes, words,
 )
 
 WIDTH = 13
 SIDE = 3
 NO_ID = (1 << 63) - 1
+NOWHERE = 0xFFFFFFFF
 _ALONE = np.int64(1) << np.int64(31)
 
 
@@ -103,20 +104,21 @@ def anchors(hashes: np.ndarray, row: np.ndarray, row_ends: np.ndarray, width: in
     first = np.searchsorted(begin, windows, "left")
     last = np.searchsorted(end, windows + width, "right")
     number = last - first
-    best = np.full(len(windows), np.iinfo(np.uint64).max, np.uint64)
     pick = np.full(len(windows), -1, np.int64)
-    for k in range(int(number.max(initial=0))):
-        there = np.flatnonzero(number > k)
-        candidate = names[first[there] + k]
-        better = candidate < best[there]
-        best[there[better]] = candidate[better]
-        pick[there[better]] = first[there[better]] + k
+    least, reach = np.arange(len(names)), 1  # place of the least name among the next ``reach`` stretches, the first of equals
+    while reach <= int(number.max(initial=0)):
+        own = np.flatnonzero((number >= reach) & (number < 2 * reach))
+        left, right = least[first[own]], least[last[own] - reach]
+        pick[own] = np.where(names[left] <= names[right], left, right)
+        left, right = least[:-reach], least[reach:]
+        least, reach = np.where(names[left] <= names[right], left, right), 2 * reach
     alone = pick < 0
     anchor_at = np.where(alone, windows | _ALONE, 0)
     anchor_at[~alone] = place[pick[~alone]]
-    keys = best
+    keys = np.empty(len(windows), np.uint64)
+    keys[~alone] = names[pick[~alone]]
     if alone.any():
-        keys = np.where(alone, window_hashes(hashes, width, 0)[np.minimum(windows, n - width)], best)
+        keys[alone] = window_hashes(hashes, width, 0)[windows[alone]]
     return windows, keys, anchor_at
 
 
@@ -149,12 +151,17 @@ def _anchor_messages(width: int, buckets: int) -> Callable:
             keys, at = keys[order], at[order]
             once = np.concatenate(([True], (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])))
             keys, at = keys[once], at[once]
+            # what the block itself holds twice is shared: it is sent once, for others, and the places go straight to the block
+            heads = segments(keys)
+            times = np.diff(np.append(heads, len(keys)))
+            own = at[np.repeat(times > 1, times)]
+            keys, at = keys[heads], np.where(times > 1, NOWHERE, at[heads])
             bucket = bucket_of(keys, buckets)
             cuts = segments(bucket)
             limits = np.append(cuts, len(keys))
             rows = [(block, int(bucket[a]), 0, pack_keys(keys[a:b]), at[a:b].astype("<u4").tobytes()) for a, b in zip(limits[:-1], limits[1:], strict=True)]
             about = np.stack([_column(batch, "row_key").astype(np.int64), _column(batch, "id"), first, number])
-            rows.append((block, -1 - block % buckets, 0, about.astype("<i8").tobytes(), None))
+            rows.append((block, -1 - block % buckets, 0, about.astype("<i8").tobytes(), own.astype("<u4").tobytes()))
             yield pa.RecordBatch.from_pylist([dict(zip(("block", "bucket", "first", "keys", "more"), r, strict=True)) for r in rows], schema=_MESSAGE)
 
     return emit
@@ -177,6 +184,7 @@ def _shared_anchors(messages: pd.DataFrame) -> pd.DataFrame:
     out, a = [], 0
     for block, more, size in zip(messages["block"], messages["more"], sizes, strict=True):
         at = np.frombuffer(more, "<u4")[shared[a : a + size]]
+        at = at[at != NOWHERE]
         a += size
         if len(at):
             out.append((block, 0, 0, None, at.tobytes()))
@@ -188,9 +196,9 @@ def _rows_with_shared(messages: pd.DataFrame) -> pd.DataFrame:
     about = messages[messages["keys"].notna()]["keys"].iat[0]
     row_key, id_, first, number = np.frombuffer(about, "<i8").reshape(4, -1)
     at = [np.frombuffer(m, "<u4") for m in messages["more"] if m is not None]
-    if not at:
-        return pd.DataFrame({"id": [], "row_key": [], "at": []})
     at = np.concatenate(at).astype(np.int64)
+    if not len(at):
+        return pd.DataFrame({"id": [], "row_key": [], "at": []})
     word = at & (_ALONE - 1)
     row = np.searchsorted(first + number, word, "right")
     local = (word - first[row]) | (at & _ALONE)
@@ -302,9 +310,8 @@ def _marks(width: int) -> Callable:
 
 def _keyed(documents: DataFrame) -> DataFrame:
     """Rows as (other columns, id, row_key, text): the one shape that is shuffled, so that both joins share the shuffle."""
-    others = [c for c in documents.columns if c != "text"]
     return documents.select(
-        F.struct(*others).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+        whole_row(documents, ("text",)).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
         F.xxhash64("doc_id", "text").alias("row_key"), F.col("text").cast("binary").alias("text"),
     )
 
