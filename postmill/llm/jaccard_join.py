@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from postmill.llm.common import (
     LOWER, bucket_count, bucket_of, block_ids, mix, pack_keys, segments, text_blocks, unpack_keys, whole_row, window_hashes, word_hashes, words,
 )
-from postmill.operators.joins import first_per_key
+from postmill.operators.joins import first_per_key, join_small
 from postmill.session import write_stage
 
 WIDTH = 4
@@ -273,7 +273,11 @@ def one_of_each_group(documents: DataFrame, width: int, percent: int) -> DataFra
     keyed = documents.select(
         whole_row(documents).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("doc_id", "text").alias("row_key")
     )
-    stay = similar_sets(documents, width, percent).where("stays").select("id", "row_key", (F.col("n") == 0).alias("empty")).distinct()
-    kept = keyed.join(stay, ["id", "row_key"])
-    once = first_per_key(kept.where("not empty"), ["id", "row_key"], [F.lit(0)])
-    return once.unionByName(kept.where("empty")).select("row.*")
+    found = similar_sets(documents, width, percent).groupBy("id", "row_key").agg(
+        F.count(F.lit(1)).alias("copies"), F.max("stays").alias("stays"), F.max(F.col("n") == 0).alias("empty")
+    )
+    # rows which go, and repeated rows of which one stays; all others pass without a shuffle while these are few
+    special = write_stage(found.where("not empty and (not stays or copies > 1)").select("id", "row_key", "stays"), "special")
+    marked = join_small(keyed, special, ["id", "row_key"])
+    repeated = first_per_key(marked.where("stays"), ["id", "row_key"], [F.lit(0)])
+    return marked.where("stays is null").select("row.*").unionByName(repeated.select("row.*"))
