@@ -6,9 +6,12 @@ Krichevsky-Trofimov counts; weighting gives a node the share ``P_e / (P_e + prod
 to the next longer context. Weights and counts come from the training texts and stay fixed while scoring, the sum of all
 bits' logarithms is the score. Where a longer context was never seen, the longest seen one takes what is left.
 
-Counts cover all training texts: Spark adds up byte strings of ``depth + 1`` and words in buckets. The tree which goes to the tasks is
-bounded by ``MAX_GRAMS`` strings a depth: where a depth has more, its contexts of the highest counts are held, whole. Counts of shorter
-contexts always hold all texts; what contexts which are not held saw is coded by the next shorter one. Word counts of at most ``HEAD`` frequent words go to the tasks; rarer words meet their counts in a shuffle, so that each token is exact.
+Counts cover all training texts. A block of texts sends its distinct byte strings of ``depth + 1`` with their counts to buckets, dealt by
+the latest ``TOP`` bytes of the context, so that all longer contexts below these stand in one bucket. Buckets add up counts and weigh their
+subtrees; the driver gathers the nodes of ``TOP`` bytes only, weighs the short contexts above and hands back what those leave to each. With
+that each bucket predicts every string which a block has sent, and answers the block. No context is dropped; ``MAX_GRAMS`` is how many strings
+a bucket takes up at a time. Word counts of at most ``HEAD`` frequent words go to the tasks; rarer words meet their counts in a shuffle, so
+that each token is exact.
 
 Null and empty texts are the end alone. Rows with equal ids are scored each. Rows without an id are held out. With no training texts
 each bit has probability 1/2. Texts have no length limit.
@@ -29,19 +32,21 @@ from postmill.llm.common import LOWER, bucket_count, bucket_of, block_ids, range
 from postmill.session import write_stage
 
 DEPTH = 6
+TOP = 3
 MAX_GRAMS = 400_000
 HEAD = 500_000
+GRAM_SHARE = 8
 END = 0xFF
 PIECE = 1 << 19
-SCORE_BYTES = 2 << 20
 LEVELS = 40
 NO_ID = (1 << 63) - 1
 
-COUNTS = "kind int, bucket long, keys binary, counts binary"
-_COUNTS = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-MESSAGE = "block long, bucket long, first int, keys binary, more binary"
-_MESSAGE = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("first", pa.int32()), ("keys", pa.binary()), ("more", pa.binary())])
-WORDS, GRAMS = 0, 1
+MESSAGE = "kind int, block long, bucket long, first int, keys binary, more binary"
+_MESSAGE = pa.schema(
+    [("kind", pa.int32()), ("block", pa.int64()), ("bucket", pa.int64()), ("first", pa.int32()), ("keys", pa.binary()), ("more", pa.binary())]
+)
+WORDS, GRAMS, TEXT, ABOUT = 0, 1, 2, 3
+COUNTED = -1
 
 
 def byte_stream(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, rows: int):
@@ -81,52 +86,113 @@ def gram_codes(stream: np.ndarray, limits: np.ndarray, depth: int, a: int, b: in
     return code
 
 
-def _train(depth: int, buckets: int) -> Callable:
+def _message(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([dict(zip(_MESSAGE.names, r, strict=True)) for r in rows], schema=_MESSAGE)
+
+
+def _squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _widen(packed: bytes) -> bytes:
+    size = int.from_bytes(packed[:8], "little")
+    return pa.decompress(packed[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """64-bit numbers as the bytes of their differences, place by place."""
+    steps = np.diff(values.astype("<u8"), prepend=np.uint64(0))
+    return _squeeze(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(_widen(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def _floats(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_widen(packed), np.uint8).reshape(4, -1).T).view("<f4").ravel()
+
+
+def _all_codes(stream: np.ndarray, limits: np.ndarray, depth: int) -> np.ndarray:
+    return np.concatenate([gram_codes(stream, limits, depth, a, min(a + PIECE, len(stream))) for a in range(0, len(stream), PIECE)])
+
+
+def _dealt(keys: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings by bucket: their order, the buckets, and the limits of each."""
+    bucket = bucket_of(_spread(keys >> np.uint64(8 * (depth + 1 - min(TOP, depth)))), buckets)
+    order = np.argsort(bucket, kind="stable")
+    edges = segments(bucket[order])
+    return order, bucket[order][edges], np.append(edges, len(keys))
+
+
+def _train(depth: int, buckets: int, gram_buckets: int) -> Callable:
+    """Of each block: the counts of its words in training texts, its byte strings with theirs, and the block itself."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = block_ids()
         for batch, data, offsets in text_blocks(batches):
+            block = next(ids)
             starts, ends, row = words(data, offsets)
             stream, limits = byte_stream(data, starts, ends, row, batch.num_rows)
-            codes = np.concatenate([gram_codes(stream, limits, depth, a, min(a + PIECE, len(stream))) for a in range(0, len(stream), PIECE)])
-            yield from _count_rows([(WORDS, word_hashes(LOWER[data], starts, ends), None), (GRAMS, codes, None)], buckets)
+            id_, held = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "held_out"))
+            learned = held[row] == 0
+            found, number = np.unique(word_hashes(LOWER[data], starts[learned], ends[learned]), return_counts=True)
+            bucket = bucket_of(found, buckets)
+            edges = np.append(segments(bucket), len(found))
+            rows = [
+                (WORDS, block, int(bucket[a]), 0, found[a:b].astype("<u8").tobytes(), number[a:b].astype("<i8").tobytes())
+                for a, b in zip(edges[:-1], edges[1:], strict=True)
+            ]
+            codes = _all_codes(stream, limits, depth)
+            keys = np.unique(codes)
+            seen, times = np.unique(codes[np.repeat(held == 0, np.diff(limits))], return_counts=True)
+            number = np.zeros(len(keys), np.int64)
+            number[np.searchsorted(keys, seen)] = times
+            order, bucket, edges = _dealt(keys, depth, gram_buckets)
+            keys, number = keys[order], number[order]
+            rows += [(GRAMS, block, int(n), 0, _pack(keys[a:b]), _pack(number[a:b])) for n, a, b in zip(bucket, edges[:-1], edges[1:], strict=True)]
+            rows.append((TEXT, block, -1, 0, _squeeze(stream.tobytes()), np.stack([id_, held, limits[1:]]).astype("<i8").tobytes()))
+            yield _message(rows)
 
     return emit
 
 
-def _count_rows(kinds, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Counted keys, one row per kind and bucket."""
-    rows = []
-    for kind, found, number in kinds:
-        if number is None:
-            keys, number = np.unique(found, return_counts=True)
-        else:
-            keys, of = np.unique(found, return_inverse=True)
-            number = np.bincount(of, number, len(keys)).astype(np.int64)
-        bucket = bucket_of(keys if kind == WORDS else _spread(keys >> np.uint64(8)), buckets)
-        if kind == GRAMS:
-            order = np.argsort(bucket, kind="stable")
-            keys, number, bucket = keys[order], number[order], bucket[order]
-        edges = np.append(segments(bucket), len(keys))
-        rows += [
-            (kind, int(bucket[a]) * 2 + kind, keys[a:b].astype("<u8").tobytes(), number[a:b].astype("<i8").tobytes())
-            for a, b in zip(edges[:-1], edges[1:], strict=True)
-        ]
-    if rows:
-        yield pa.RecordBatch.from_pylist([dict(zip(_COUNTS.names, r, strict=True)) for r in rows], schema=_COUNTS)
-
-
 def _spread(keys: np.ndarray) -> np.ndarray:
     keys = keys * np.uint64(0x9E3779B97F4A7C15)
     return keys ^ (keys >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _add(messages: pd.DataFrame) -> pd.DataFrame:
-    keys = np.concatenate([np.frombuffer(k, "<u8") for k in messages["keys"]])
-    number = np.concatenate([np.frombuffer(c, "<i8") for c in messages["counts"]])
+def _summed(keys: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, number = keys[order], number[order]
     starts = segments(keys)
-    kind, bucket = messages["kind"].iat[0], messages["bucket"].iat[0]
-    return pd.DataFrame([(kind, bucket, keys[starts].tobytes(), np.add.reduceat(number, starts).tobytes())], columns=_COUNTS.names)
+    return keys[starts], np.add.reduceat(number, starts) if len(starts) else number
+
+
+def _add(messages: pd.DataFrame) -> pd.DataFrame:
+    keys = np.concatenate([np.frombuffer(k, "<u8") for k in messages["keys"]])
+    number = np.concatenate([np.frombuffer(c, "<i8") for c in messages["more"]])
+    keys, number = _summed(keys, number)
+    return pd.DataFrame([(WORDS, COUNTED, messages["bucket"].iat[0], 0, keys.tobytes(), number.tobytes())], columns=_MESSAGE.names)
+
+
+def _add_grams(max_grams: int) -> Callable:
+    """Byte strings of training texts and their counts."""
+
+    def add(messages: pd.DataFrame) -> pd.DataFrame:
+        keys, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        more, size = [(keys, number)], 0
+        for n, (k, c) in enumerate(zip(messages["keys"], messages["more"], strict=True), 1):
+            k, c = _unpack(k), _unpack(c).astype(np.int64)
+            more.append((k[c > 0], c[c > 0]))
+            size += len(more[-1][0])
+            if size >= max(max_grams, len(keys)) or n == len(messages):
+                keys, number = _summed(*(np.concatenate(x) for x in zip((keys, number), *more, strict=True)))
+                more, size = [], 0
+        return pd.DataFrame([(GRAMS, COUNTED, messages["bucket"].iat[0], 0, _pack(keys), _pack(number))], columns=_MESSAGE.names)
+
+    return add
 
 
 def _log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -147,92 +213,125 @@ def _drop_oldest(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(16)) << np.uint64(8) | keys & np.uint64(0xFF)
 
 
-class ContextTree:
-    """Weighted predictions from counts of byte strings (context, latest byte first, then the byte)."""
+def _node(keys: np.ndarray, bit: int) -> np.ndarray:
+    """The node of a bit: the context, and the bits of the byte before it."""
+    return keys & ~np.uint64(0xFF) | np.uint64(1 << bit) | (keys & np.uint64(0xFF)) >> np.uint64(8 - bit)
 
-    def __init__(self, held: dict[int, tuple[np.ndarray, np.ndarray]], depth: int):
-        """``held`` has strings (in order) and counts by depth; depths below the least one given follow from it."""
-        self.depth, self.codes = depth, held[depth][0]
-        grams = {d: (keys, number.astype(np.float64)) for d, (keys, number) in held.items()}
-        for d in range(min(held) - 1, -1, -1):
-            above, number = grams[d + 1]
-            keys, of = np.unique(_drop_oldest(above), return_inverse=True)
-            grams[d] = (keys, np.bincount(of, number, len(keys)))
-        logs = np.zeros(len(self.codes))
-        tables: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(depth + 1)]
-        for bit in range(8):
-            nodes, share, kt = {}, {}, {}
-            below, counts = None, None
-            for d in range(depth, -1, -1):
-                keys, number = grams[d]
-                byte = keys & np.uint64(0xFF)
-                name = keys & ~np.uint64(0xFF) | np.uint64(1 << bit) | byte >> np.uint64(8 - bit)
-                starts = segments(name)
-                one = (byte >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
-                n1 = np.add.reduceat(np.where(one, number, 0.0), starts) if len(starts) else np.zeros(0)
-                n = np.add.reduceat(number, starts) if len(starts) else np.zeros(0)
-                nodes[d], kt[d] = name[starts], (n1 + 0.5) / (n + 1)
-                log_e = _log_kt(n - n1, n1)
-                if d == depth:
-                    share[d], weighted = np.ones(len(starts)), log_e
-                else:
-                    up = np.searchsorted(nodes[d], _drop_oldest(nodes[d + 1]))
-                    rest0 = n - n1 - np.bincount(up, counts[0], len(starts))
-                    rest1 = n1 - np.bincount(up, counts[1], len(starts))
-                    children = np.bincount(up, below, len(starts)) + rest0 * np.log(1 - kt[d]) + rest1 * np.log(kt[d])
-                    weighted = math.log(0.5) + np.logaddexp(log_e, children)
-                    share[d] = np.exp(math.log(0.5) + log_e - weighted)
-                below, counts = weighted, (n - n1, n1)
-            given, rest = np.zeros(len(nodes[0])), np.ones(len(nodes[0]))
-            for d in range(depth + 1):
-                if d:
-                    up = np.searchsorted(nodes[d - 1], _drop_oldest(nodes[d]))
-                    given, rest = given[up] + rest[up] * share[d - 1][up] * kt[d - 1][up], rest[up] * (1 - share[d - 1][up])
-                tables[d].append((nodes[d], given + rest * kt[d]))
-            byte = self.codes & np.uint64(0xFF)
-            at = np.searchsorted(nodes[depth], self.codes & ~np.uint64(0xFF) | np.uint64(1 << bit) | byte >> np.uint64(8 - bit))
-            one = (byte >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
-            p = tables[depth][bit][1][at] if len(at) else np.zeros(0)
-            logs += np.log10(np.where(one, p, 1 - p))
+
+def _ones(keys: np.ndarray, bit: int) -> np.ndarray:
+    return (keys >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
+
+
+def _leaves(keys: np.ndarray, number: np.ndarray, bit: int):
+    """Nodes of the longest contexts: names, zeros, ones, and the logarithm of their estimate."""
+    name = _node(keys, bit)
+    starts = segments(name)
+    if not len(starts):
+        return name, np.zeros(0), np.zeros(0), np.zeros(0)
+    n1 = np.add.reduceat(np.where(_ones(keys, bit), number, 0).astype(np.float64), starts)
+    n0 = np.add.reduceat(number.astype(np.float64), starts) - n1
+    return name[starts], n0, n1, _log_kt(n0, n1)
+
+
+class Levels:
+    """Nodes of a bit with contexts of ``depth`` bytes, weighted up to those of ``stop`` bytes."""
+
+    def __init__(self, leaves, depth: int, stop: int):
+        name, n0, n1, weighted = leaves
+        self.depth, self.stop = depth, stop
+        self.names, self.kt, self.share = {depth: name}, {depth: (n1 + 0.5) / (n0 + n1 + 1)}, {depth: np.ones(len(name))}
+        self.up = {}
+        for d in range(depth - 1, stop - 1, -1):
+            name, up = np.unique(_drop_oldest(name), return_inverse=True)
+            n0, n1, below = (np.bincount(up, x, len(name)) for x in (n0, n1, weighted))
+            log_e = _log_kt(n0, n1)
+            weighted = math.log(0.5) + np.logaddexp(log_e, below)
+            self.names[d], self.up[d + 1] = name, up
+            self.kt[d], self.share[d] = (n1 + 0.5) / (n0 + n1 + 1), np.exp(math.log(0.5) + log_e - weighted)
+        self.top = name, n0, n1, weighted
+
+    def down(self, given: np.ndarray, rest: np.ndarray):
+        """Given what shorter contexts have said and left to the nodes of ``stop``: predictions by depth, and the same for the longest."""
+        predicted = {}
+        for d in range(self.stop, self.depth + 1):
+            if d > self.stop:
+                up = self.up[d]
+                share = self.share[d - 1][up]
+                given, rest = given[up] + rest[up] * share * self.kt[d - 1][up], rest[up] * (1 - share)
+            predicted[d] = given + rest * self.kt[d]
+        return predicted, given, rest
+
+
+def _roots(depth: int) -> Callable:
+    """Nodes of ``TOP`` bytes by bit: names, zeros, ones and weighted logarithms."""
+
+    def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, c in zip(batch.column(0), batch.column(1), strict=True):
+                keys, number = _unpack(k.as_py()), _unpack(c.as_py())
+                for bit in range(8):
+                    top = Levels(_leaves(keys, number, bit), depth, min(TOP, depth)).top
+                    yield pa.record_batch([pa.array([bit], pa.int32()), *(pa.array([x.tobytes()]) for x in top)], names=["bit", "name", "n0", "n1", "weighted"])
+
+    return roots
+
+
+def _short_contexts(counts: DataFrame, depth: int) -> list[tuple]:
+    """By bit: names and predictions of contexts shorter than ``TOP``, and for each node of ``TOP`` bytes what these said and left to it."""
+    stop = min(TOP, depth)
+    found = counts.select("keys", "more").mapInArrow(_roots(depth), "bit int, name binary, n0 binary, n1 binary, weighted binary").toArrow()
+    parts: list[list[tuple]] = [[] for _ in range(8)]
+    for bit, *arrays in zip(*(found[c].to_pylist() for c in found.column_names), strict=True):
+        parts[bit].append(tuple(np.frombuffer(x, t) for x, t in zip(arrays, ("<u8", "<f8", "<f8", "<f8"), strict=True)))
+    out = []
+    for own in parts:
+        leaves = [np.concatenate(x) for x in zip(*own, strict=True)] if own else [np.zeros(0, np.uint64), *[np.zeros(0)] * 3]
+        order = np.argsort(leaves[0])
+        levels = Levels([x[order] for x in leaves], stop, 0)
+        n = len(levels.names[0])
+        predicted, given, rest = levels.down(np.zeros(n), np.ones(n))
+        out.append(([(levels.names[d], predicted[d]) for d in range(stop)], levels.names[stop], given, rest))
+    return out
+
+
+class Subtrees:
+    """Weighted predictions of a bucket's contexts, from its strings (in order), their counts and the contexts above."""
+
+    def __init__(self, keys: np.ndarray, number: np.ndarray, depth: int, above: list[tuple]):
+        self.depth, self.codes = depth, keys
+        self.tables: list[list[tuple[np.ndarray, np.ndarray]]] = []
+        logs = np.zeros(len(keys))
+        for bit, (short, names, given, rest) in enumerate(above):
+            levels = Levels(_leaves(keys, number, bit), depth, min(TOP, depth))
+            at = np.searchsorted(names, levels.names[levels.stop])
+            predicted, _, _ = levels.down(given[at], rest[at])
+            self.tables.append([*short, *((levels.names[d], predicted[d]) for d in range(levels.stop, depth + 1))])
+            p = predicted[depth][np.searchsorted(levels.names[depth], _node(keys, bit))]
+            logs += np.log10(np.where(_ones(keys, bit), p, 1 - p))
         self.logs = logs.astype(np.float32)
-        self.tables = [[(k, p.astype(np.float32)) for k, p in level] for level in tables]
-
-    def slots(self):
-        """A table of slots for quick look-ups; strings which find theirs taken are looked up by search."""
-        size = max(10, int(2 * max(len(self.codes), 1)).bit_length())
-        slot = (_spread(self.codes) >> np.uint64(64 - size)).astype(np.int64)
-        keys = np.full(1 << size, np.iinfo(np.uint64).max, np.uint64)
-        values = np.zeros(1 << size, np.float32)
-        keys[slot], values[slot] = self.codes, self.logs
-        return size, keys, values
-
-    def score(self, codes: np.ndarray, slots) -> np.ndarray:
+
+    def score(self, codes: np.ndarray) -> np.ndarray:
         """log10 probability of each byte in its context."""
-        size, keys, values = slots
-        slot = (_spread(codes) >> np.uint64(64 - size)).astype(np.int64)
-        out = values[slot]
-        missed = np.flatnonzero(keys[slot] != codes)
-        if len(missed):
-            rare, of = np.unique(codes[missed], return_inverse=True)
-            at = np.minimum(np.searchsorted(self.codes, rare), max(len(self.codes) - 1, 0))
-            known = self.codes[at] == rare if len(self.codes) else np.zeros(len(rare), bool)
-            found = np.empty(len(rare), np.float32)
-            found[known] = self.logs[at[known]]
-            found[~known] = self.by_path(rare[~known])
-            out[missed] = found[of]
+        out = np.zeros(len(codes), np.float32)
+        known = np.zeros(len(codes), bool)
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            known = self.codes[at] == codes
+            out[known] = self.logs[at[known]]
+        rare, of = np.unique(codes[~known], return_inverse=True)
+        out[~known] = self.by_path(rare)[of]
         return out
 
     def by_path(self, codes: np.ndarray) -> np.ndarray:
         """Bytes never seen in their context: each bit by the longest context which saw the bits before it."""
         total = np.zeros(len(codes))
-        byte = codes & np.uint64(0xFF)
         for bit in range(8):
             p = np.full(len(codes), 0.5)
             open_ = np.arange(len(codes))
-            prefix = np.uint64(1 << bit) | byte >> np.uint64(8 - bit)
+            prefix = _node(codes & np.uint64(0xFF), bit)
             for d in range(self.depth, -1, -1):
                 context = (codes >> np.uint64(8 * (self.depth - d + 1))) << np.uint64(8)
-                keys, predicted = self.tables[d][bit]
+                keys, predicted = self.tables[bit][d]
                 if not len(keys) or not len(open_):
                     continue
                 name = (context | prefix)[open_]
@@ -240,123 +339,142 @@ class ContextTree:
                 seen = keys[at] == name
                 p[open_[seen]] = predicted[at[seen]]
                 open_ = open_[~seen]
-            one = (byte >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
-            total += np.log10(np.where(one, p, 1 - p))
+            total += np.log10(np.where(_ones(codes, bit), p, 1 - p))
         return total
 
 
-def _scores(shared, buckets: int) -> Callable:
-    """Scores of all rows; rare words go to their buckets, the rest of a block to the block."""
+def _predict(shared, depth: int, max_grams: int) -> Callable:
+    """Predictions of the strings which blocks ask for, in the order they were sent."""
+
+    def predict(messages: pd.DataFrame) -> pd.DataFrame:
+        own = messages["block"] == COUNTED
+        keys, number = (_unpack(messages[own][c].iat[0]) for c in ("keys", "more"))
+        tree = Subtrees(keys, number, depth, shared.value)
+        out, asked, size = [], [], 0
+        bucket, sent = messages["bucket"].iat[0], messages[~own]
+        for n, (block, k) in enumerate(zip(sent["block"], sent["keys"], strict=True), 1):
+            asked.append((block, _unpack(k)))
+            size += len(asked[-1][1])
+            if size >= max_grams or n == len(sent):
+                logs = tree.score(np.concatenate([k for _, k in asked]))
+                parts = np.split(logs, np.cumsum([len(k) for _, k in asked])[:-1])
+                out += [(GRAMS, b, bucket, 0, None, _squeeze(np.ascontiguousarray(p.astype("<f4").view(np.uint8).reshape(-1, 4).T).tobytes())) for (b, _), p in zip(asked, parts, strict=True)]
+                asked, size = [], 0
+        return pd.DataFrame(out, columns=_MESSAGE.names)
+
+    return predict
+
+
+def _bases(shared, buckets: int) -> Callable:
+    """Word scores of all rows; rare words go to their buckets, the rest of a block to the block."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, head_keys, head_logs, known_end, log_end = shared.value
-        slots, ids = tree.slots(), block_ids()
-        for batch, data, offsets in text_blocks(batches, max_bytes=SCORE_BYTES):
-            block = next(ids)
-            starts, ends, row = words(data, offsets)
-            stream, limits = byte_stream(data, starts, ends, row, batch.num_rows)
-            logs = np.concatenate(
-                [tree.score(gram_codes(stream, limits, tree.depth, a, min(a + PIECE, len(stream))), slots) for a in range(0, len(stream), PIECE)]
-            )
-            score = np.add.reduceat(logs.astype(np.float64), limits[:-1])
-            hashes = word_hashes(LOWER[data], starts, ends)
-            found, of = np.unique(hashes, return_inverse=True)
-            at = np.minimum(np.searchsorted(head_keys, found), max(len(head_keys) - 1, 0))
-            known = head_keys[at] == found if len(head_keys) else np.zeros(len(found), bool)
-            value = np.where(known, head_logs[at] if len(head_keys) else 0.0, 0.0)
-            rows = batch.num_rows
-            base = np.bincount(row, value[of], rows) + log_end
-            n_known = np.bincount(row, known[of], rows).astype(np.int64) + known_end
-            n_tokens = np.bincount(row, minlength=rows) + 1
-            rare, name = found[~known], np.cumsum(~known) - 1
-            tail = np.flatnonzero(~known[of])
-            pairs, number = np.unique(row[tail].astype(np.uint64) << np.uint64(32) | name[of[tail]].astype(np.uint64), return_counts=True)
-            bucket = bucket_of(rare, buckets)
-            edges = np.append(segments(bucket), len(rare))
-            out = [(block, int(bucket[a]), int(a), rare[a:b].tobytes(), None) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            id_, held = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "held_out"))
-            about = np.stack([id_, held, n_tokens.astype(np.int64), n_known, base.view(np.int64), score.view(np.int64)])
-            out.append((block, -1 - block % buckets, len(rare), about.astype("<i8").tobytes(), np.stack([pairs.astype(np.int64), number]).astype("<i8").tobytes()))
-            yield pa.RecordBatch.from_pylist([dict(zip(_MESSAGE.names, r, strict=True)) for r in out], schema=_MESSAGE)
+        head_keys, head_logs, known_end, log_end = shared.value
+        for batch in batches:
+            for block, text, about in zip(*(batch.column(n) for n in range(3)), strict=True):
+                block = block.as_py()
+                id_, held, limits = np.frombuffer(about.as_py(), "<i8").reshape(3, -1)
+                stream = np.frombuffer(_widen(text.as_py()), np.uint8)
+                stream = np.where(stream == END, np.uint8(0x20), stream)
+                starts, ends, row = words(stream, np.append(0, limits))
+                found, of = np.unique(word_hashes(stream, starts, ends), return_inverse=True)
+                at = np.minimum(np.searchsorted(head_keys, found), max(len(head_keys) - 1, 0))
+                known = head_keys[at] == found if len(head_keys) else np.zeros(len(found), bool)
+                value = np.where(known, head_logs[at] if len(head_keys) else 0.0, 0.0)
+                rows = len(id_)
+                base = np.bincount(row, value[of], rows) + log_end
+                n_known = np.bincount(row, known[of], rows).astype(np.int64) + known_end
+                n_tokens = np.bincount(row, minlength=rows) + 1
+                rare, name = found[~known], np.cumsum(~known) - 1
+                tail = np.flatnonzero(~known[of])
+                pairs, number = np.unique(row[tail].astype(np.uint64) << np.uint64(32) | name[of[tail]].astype(np.uint64), return_counts=True)
+                bucket = bucket_of(rare, buckets)
+                edges = np.append(segments(bucket), len(rare))
+                out = [(WORDS, block, int(bucket[a]), int(a), rare[a:b].tobytes(), None) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                about = np.stack([n_tokens.astype(np.int64), n_known, base.view(np.int64)])
+                out.append((ABOUT, block, -1 - block % buckets, len(rare), about.astype("<i8").tobytes(), np.stack([pairs.astype(np.int64), number]).astype("<i8").tobytes()))
+                yield _message(out)
 
     return emit
 
 
 def _look_up(messages: pd.DataFrame) -> pd.DataFrame:
-    """Counts of the words which blocks ask for; the words of a bucket come with block -1."""
+    """Counts of the words which blocks ask for."""
     if messages["bucket"].iat[0] < 0:
         return messages
-    own = messages["block"] == -1
+    own = messages["block"] == COUNTED
     out = []
+    keys, counts = np.zeros(1, np.uint64), np.zeros(1, np.int64)
     if own.any():
         keys, counts = np.frombuffer(messages[own]["keys"].iat[0], "<u8"), np.frombuffer(messages[own]["more"].iat[0], "<i8")
-        for block, first, asked in messages[~own][["block", "first", "keys"]].itertuples(index=False):
-            asked = np.frombuffer(asked, "<u8")
-            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-            out.append((block, 0, first, None, np.where(keys[at] == asked, counts[at], 0).tobytes()))
+    for block, bucket, first, asked in messages[~own][["block", "bucket", "first", "keys"]].itertuples(index=False):
+        asked = np.frombuffer(asked, "<u8")
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        out.append((WORDS, block, bucket, first, None, np.where(keys[at] == asked, counts[at], 0).tobytes()))
     return pd.DataFrame(out, columns=_MESSAGE.names)
 
 
-def _sum_up(log_all: float) -> Callable:
+def _sum_up(log_all: float, depth: int, buckets: int) -> Callable:
     def sum_up(messages: pd.DataFrame) -> pd.DataFrame:
-        head = messages[messages["keys"].notna()].iloc[0]
-        id_, held, n_tokens, n_known, base, score = np.frombuffer(head["keys"], "<i8").reshape(6, -1)
-        pairs, number = np.frombuffer(head["more"], "<i8").reshape(2, -1)
+        of_kind = {kind: rows for kind, rows in messages.groupby("kind")}
+        text, about = of_kind[TEXT].iloc[0], of_kind[ABOUT].iloc[0]
+        id_, held, limits = np.frombuffer(text["more"], "<i8").reshape(3, -1)
+        limits = np.append(0, limits)
+        codes = _all_codes(np.frombuffer(_widen(text["keys"]), np.uint8), limits, depth)
+        place = np.argsort(codes)
+        codes = codes[place]
+        starts = segments(codes)
+        order, _, _ = _dealt(codes[starts], depth, buckets)
+        told = np.empty(len(starts), np.float32)
+        told[order] = np.concatenate([_floats(x) for x in of_kind[GRAMS].sort_values("bucket")["more"]])
+        logs = np.empty(len(codes))
+        logs[place] = np.repeat(told, np.diff(np.append(starts, len(codes))))
+        score = np.add.reduceat(logs, limits[:-1])
+
+        n_tokens, n_known, base = np.frombuffer(about["keys"], "<i8").reshape(3, -1)
+        pairs, number = np.frombuffer(about["more"], "<i8").reshape(2, -1)
         row, name = pairs >> 32, pairs & 0xFFFFFFFF
-        counts = np.zeros(int(head["first"]), np.int64)
-        told = messages[messages["keys"].isna()]
-        for first, more in zip(told["first"], told["more"], strict=True):
-            more = np.frombuffer(more, "<i8")
-            counts[first : first + len(more)] = more
+        counts = np.zeros(int(about["first"]), np.int64)
+        if WORDS in of_kind:
+            for first, more in zip(of_kind[WORDS]["first"], of_kind[WORDS]["more"], strict=True):
+                more = np.frombuffer(more, "<i8")
+                counts[first : first + len(more)] = more
         c = counts[name]
         tail = np.bincount(row, number * np.log10(c + 0.5), len(id_))
         n_known = n_known + np.bincount(row, number * (c > 0), len(id_)).astype(np.int64)
         base = base.view(np.float64) + tail - n_tokens * log_all
-        return pd.DataFrame({"id": id_, "held_out": held.astype(bool), "n_tokens": n_tokens, "n_known": n_known, "base_score": base, "score": score.view(np.float64)})
+        return pd.DataFrame({"id": id_, "held_out": held.astype(bool), "n_tokens": n_tokens, "n_known": n_known, "base_score": base, "score": score})
 
     return sum_up
 
 
-def _weights(kind: int, keys: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """What decides whether a key is held: a word's count, or the count of the whole context of a byte string."""
-    if kind == WORDS or not len(keys):
-        return number
-    starts = segments(keys >> np.uint64(8))
-    return np.repeat(np.add.reduceat(number, starts), np.diff(np.append(starts, len(keys))))
-
-
-def _figures(kind: int) -> Callable:
-    """How many keys have a weight of at least 2^k, and the sum of counts."""
-
-    def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, c in zip(batch.column(0), batch.column(1), strict=True):
-                number = np.frombuffer(c.as_py(), "<i8")
-                weight = _weights(kind, np.frombuffer(k.as_py(), "<u8"), number)
-                least = [int((weight >= 1 << k).sum()) for k in range(LEVELS)]
-                yield pa.record_batch([pa.array([least], pa.list_(pa.int64())), pa.array([int(number.sum())], pa.int64())], names=["least", "total"])
-
-    return figures
+def _figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many words have a count of at least 2^k, and the sum of counts."""
+    for batch in batches:
+        for c in batch.column(0):
+            number = np.frombuffer(c.as_py(), "<i8")
+            least = [int((number >= 1 << k).sum()) for k in range(LEVELS)]
+            yield pa.record_batch([pa.array([least], pa.list_(pa.int64())), pa.array([int(number.sum())], pa.int64())], names=["least", "total"])
 
 
-def _totals(counts: DataFrame, kind: int) -> tuple[list[int], int]:
-    figures = counts.where(F.col("kind") == kind).select("keys", "counts").mapInArrow(_figures(kind), "least array<long>, total long")
+def _totals(counts: DataFrame) -> tuple[list[int], int]:
+    figures = counts.select("more").mapInArrow(_figures, "least array<long>, total long")
     sums = figures.agg(*[F.sum(F.col("least")[k]).alias(f"k{k}") for k in range(LEVELS)], F.sum("total").alias("total")).first()
     return [sums[f"k{k}"] or 0 for k in range(LEVELS)], sums["total"] or 0
 
 
-def _collect(counts: DataFrame, kind: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys with a weight of at least ``least``; the caller has checked how many there are."""
+def _collect(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words with a count of at least ``least``; the caller has checked how many there are."""
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, c in zip(batch.column(0), batch.column(1), strict=True):
                 keys, number = np.frombuffer(k.as_py(), "<u8"), np.frombuffer(c.as_py(), "<i8")
-                keep = _weights(kind, keys, number) >= least
+                keep = number >= least
                 if keep.any():
                     yield pa.record_batch([pa.array([keys[keep].tobytes()]), pa.array([number[keep].tobytes()])], names=["keys", "counts"])
 
-    rows = counts.where(F.col("kind") == kind).select("keys", "counts").mapInArrow(strip, "keys binary, counts binary").toArrow()
+    rows = counts.select("keys", "more").mapInArrow(strip, "keys binary, counts binary").toArrow()
     parts = [(np.frombuffer(k.as_py(), "<u8"), np.frombuffer(c.as_py(), "<i8")) for k, c in zip(rows["keys"], rows["counts"], strict=True)]
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -365,56 +483,33 @@ def _collect(counts: DataFrame, kind: int, least: int) -> tuple[np.ndarray, np.n
     return keys[order], number[order]
 
 
-def _shorten(buckets: int) -> Callable:
-    """Byte strings with their oldest byte dropped, dealt anew by context."""
-
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = np.concatenate([np.frombuffer(k.as_py(), "<u8") for k in batch.column(0)])
-            number = np.concatenate([np.frombuffer(c.as_py(), "<i8") for c in batch.column(1)])
-            yield from _count_rows([(GRAMS, _drop_oldest(keys), number)], buckets)
-
-    return shorten
-
-
-def held_grams(counts: DataFrame, buckets: int, depth: int, max_grams: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Byte strings by depth, from the longest to the first depth which is held whole."""
-    held, cut = {}, LEVELS
-    for d in range(depth, -1, -1):
-        least, _ = _totals(counts, GRAMS)
-        cut = min(cut, next((k for k in range(LEVELS) if least[k] <= max_grams), LEVELS - 1))
-        held[d] = _collect(counts, GRAMS, 1 << cut)
-        if cut == 0:
-            break
-        strings = counts.where(F.col("kind") == GRAMS).select("keys", "counts").mapInArrow(_shorten(buckets), COUNTS)
-        counts = write_stage(strings.groupBy("bucket").applyInPandas(_add, COUNTS), "counts")
-    return held
-
-
 def scores(documents: DataFrame, is_held_out, depth: int = DEPTH, max_grams: int = MAX_GRAMS, head: int = HEAD) -> DataFrame:
     """Scores of all documents, learned from those which ``is_held_out`` (a condition) does not hold back."""
     spark = documents.sparkSession
     buckets = bucket_count(documents)
+    gram_buckets = -(-buckets // GRAM_SHARE)
     texts = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(is_held_out, F.lit(True)).alias("held_out"),
-        F.col("text").cast("binary").alias("text"),
+        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
-    training = texts.where("not held_out")
-    sent = training.select("text").mapInArrow(_train(depth, buckets), COUNTS)
-    counts = write_stage(sent.groupBy("bucket").applyInPandas(_add, COUNTS), "counts")
-    tree = ContextTree(held_grams(counts, buckets, depth, max_grams), depth)
-    n_ends = training.select("held_out").count()
-    least, total = _totals(counts, WORDS)
+    sent = write_stage(texts.mapInArrow(_train(depth, buckets, gram_buckets), MESSAGE), "blocks")
+    word_counts = write_stage(sent.where(F.col("kind") == WORDS).groupBy("bucket").applyInPandas(_add, MESSAGE), "words")
+    strings = sent.where(F.col("kind") == GRAMS)
+    counts = write_stage(strings.groupBy("bucket").applyInPandas(_add_grams(max_grams), MESSAGE), "counts")
+    above = spark.sparkContext.broadcast(_short_contexts(counts, depth))
+    n_ends = texts.where("not held_out").count()
+    least, total = _totals(word_counts)
     n, v = total + n_ends, least[0] + (n_ends > 0)
     cut = next((k for k in range(LEVELS) if least[k] <= head), LEVELS - 1)
-    keys, number = _collect(counts, WORDS, 1 << cut)
-    model = (tree, keys, np.log10(number + 0.5), int(n_ends > 0), math.log10(n_ends + 0.5))
-    sent = texts.mapInArrow(_scores(spark.sparkContext.broadcast(model), buckets), MESSAGE)
-    asked = counts.where(F.col("kind") == WORDS).select(
-        F.lit(-1).cast("long").alias("block"), (F.col("bucket") / 2).cast("long").alias("bucket"), F.lit(0).alias("first"), "keys", F.col("counts").alias("more")
-    )
-    answered = sent.unionAll(asked).groupBy("bucket").applyInPandas(_look_up, MESSAGE)
-    done = answered.groupBy("block").applyInPandas(
-        _sum_up(math.log10(n + 0.5 * (v + 1))), "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    keys, number = _collect(word_counts, 1 << cut)
+    model = spark.sparkContext.broadcast((keys, np.log10(number + 0.5), int(n_ends > 0), math.log10(n_ends + 0.5)))
+    blocks = sent.where(F.col("kind") == TEXT)
+    asked = blocks.select("block", "keys", "more").mapInArrow(_bases(model, buckets), MESSAGE)
+    told = asked.unionAll(word_counts).groupBy("bucket").applyInPandas(_look_up, MESSAGE)
+    asked = strings.withColumn("more", F.lit(None).cast("binary"))
+    predicted = asked.unionAll(counts).groupBy("bucket").applyInPandas(_predict(above, depth, max_grams), MESSAGE)
+    done = told.unionAll(predicted).unionAll(blocks).groupBy("block").applyInPandas(
+        _sum_up(math.log10(n + 0.5 * (v + 1)), depth, gram_buckets),
+        "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
     return done.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -150,6 +150,17 @@ def test_op9_bounded_tree_still_predicts(spark, sf_dir):
     assert base(small) == base(exact)
 
 
+def test_op9_holds_every_context(spark, documents, sf_dir):
+    from pyspark.sql import functions as F
+
+    train = [d for d, _, _ in documents[:8]]
+    want = _brute_tree([t for _, t, _ in documents[:8]], 5)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").where(F.col("doc_id") < 14)
+    found = {r.doc_id: r.score for r in ctw.scores(table, ~F.col("doc_id").isin(train), depth=5, max_grams=50).collect()}
+    for doc_id, text, _ in documents[:14]:
+        assert found[doc_id] == pytest.approx(want(text), rel=1e-5)
+
+
 def test_op10(spark, con, sf_dir):
     rows = queries.REGISTRY["op10_raking"](spark, sf_dir).toPandas()
     words = dict(con.execute(r"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) FROM documents").fetchall())
