@@ -19,7 +19,7 @@ ORACLE_SQL = None
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: null texts, texts without a letter and texts unlike every learned language go."""
     model = language_id.fit(docs, language_id.learned_from())
-    found = language_id.identified(docs, model, keep="*")
+    found = language_id.identified(docs, model, keep="*", reject=True)
     return found.where(F.col("lang_pred") != "und").select("row.*")
 
 

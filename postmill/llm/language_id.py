@@ -30,6 +30,7 @@ FIT_ROWS = 2400
 PER_LANGUAGE = 400
 LANDMARKS = 96
 RIDGE = 1e-2
+FLOOR = 0.5
 BATCH_BYTES = 1 << 19
 BATCH_ROWS = 192
 
@@ -86,6 +87,17 @@ class Classifier:
         targets = (y[:, None] == np.arange(len(languages))).astype(np.float64)
         solved = np.linalg.solve((phi * w[:, None]).T @ phi + ridge * len(languages) * np.eye(phi.shape[1]) / len(x), (phi * w[:, None]).T @ targets)
         self.weights = (self.root @ solved).astype(np.float32)
+        self.floors = self._floors((phi @ solved).max(axis=1), x)
+
+    @staticmethod
+    def _floors(best: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """By the power of two of a text's n-grams: a share of the least score of the labelled texts of half that size or more."""
+        size = np.array([int(n).bit_length() for n in x.sum(axis=1, dtype=np.int64)])
+        return np.array([FLOOR * best[size >= min(k, size.max()) - 1].min() for k in range(SLOT_BITS + 2)])
+
+    def unlike(self, x: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Texts which score less than labelled texts of their size do."""
+        return best < self.floors[[int(n).bit_length() for n in x.sum(axis=1, dtype=np.int64)]]
 
     def kernel(self, x: np.ndarray) -> np.ndarray:
         x = x.astype(np.float32)
@@ -120,14 +132,17 @@ def fit(documents: DataFrame, learn: Column, fit_rows: int = FIT_ROWS, per_langu
     return Classifier(languages, x[mixed], y[mixed])
 
 
-def _predict(shared) -> Callable:
+def _predict(shared, reject: bool) -> Callable:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch, data, offsets in _small_blocks(batches):
             lettered = batch.column(batch.schema.get_field_index("lettered")).to_numpy(zero_copy_only=False)
             names, best = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
             if model is not None:
-                scores = model.scores(presence(data, offsets))
+                bits = presence(data, offsets)
+                scores = model.scores(bits)
+                if reject:
+                    lettered = lettered & ~model.unlike(bits, scores.max(axis=1))
                 names = np.where(lettered, np.array(model.languages, object)[scores.argmax(axis=1)], "und")
                 best = np.where(lettered, np.clip(scores.max(axis=1), 0, 1), 0.0)
             yield pa.record_batch([batch.column(0), pa.array(names, pa.string()), pa.array(best, pa.float64())], names=["row", "lang_pred", "score"])
@@ -135,13 +150,15 @@ def _predict(shared) -> Callable:
     return predict
 
 
-def identified(documents: DataFrame, model: Classifier | None, keep: str = "doc_id") -> DataFrame:
-    """Every document (the column ``keep``, or with "*" the whole row as a struct ``row``) with lang_pred and score."""
+def identified(documents: DataFrame, model: Classifier | None, keep: str = "doc_id", reject: bool = False) -> DataFrame:
+    """Every document (the column ``keep``, or with "*" the whole row as a struct ``row``) with lang_pred and score.
+
+    With ``reject``, texts unlike every learned language are ``und`` as well."""
     row = whole_row(documents) if keep == "*" else F.col(keep)
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")
     texts = documents.select(row.alias("row"), lettered, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     kind = texts.schema["row"].dataType.simpleString()
-    return texts.mapInArrow(_predict(documents.sparkSession.sparkContext.broadcast(model)), f"row {kind}, lang_pred string, score double")
+    return texts.mapInArrow(_predict(documents.sparkSession.sparkContext.broadcast(model), reject), f"row {kind}, lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -214,6 +214,14 @@ def test_language_edges(spark, untidy):
     assert language_id.identified(untidy, None).where("lang_pred <> 'und' OR score <> 0").count() == 0
 
 
+def test_pipeline_rejects_texts_unlike_every_language(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(4)
+    junk = [(-1 - n, rng.randbytes(1500).hex(), None) for n in range(5)] + [(-9, "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(300)), None)]
+    kept = {r.doc_id for r in corpus_pipeline.in_a_language(spark, docs.unionAll(spark.createDataFrame(junk, docs.schema)), sf_dir).collect()}
+    assert kept == {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect()}
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
