@@ -4,9 +4,9 @@ Records stand in files in order of their ids; a record's offset is the sum of th
 ``RANGE_BYTES`` of offsets, files, then groups of ``FAN`` files, until one root is left. A node's digest covers its children's places and
 digests. Two replicas are compared from the root; only children of differing nodes are met at the next level, down to the records.
 
-Equal records of one id are written once, with their number, so a row repeated many times is one record. Null urls and pages count as empty. Rows without
+Equal records of one id are told once, with their number; their offset is that of the first, and the digests of the tree cover the number. Null urls and pages count as empty. Rows without
 an id stand in a file of their own, by digest. Empty archives have no root; all records of the other are then told as missing or extra.
-A missing record moves those after it in its file, which are told as moved.
+A missing record moves those after it in its file, which are told as moved. A record which one archive repeats more often is told as copies.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def archive(pages: DataFrame, id_col: str = "page_id", url: str = "url", payload
     once = facts.groupBy("id", "digest", "length").agg(F.count(F.lit(1)).alias("copies"))
     placed = once.withColumn("file", F.coalesce(F.floor(F.col("id") / FILE_IDS), F.lit(NO_FILE)))
     before = Window.partitionBy("file").orderBy("id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    return placed.withColumn("offset", F.coalesce(F.sum(F.col("length") * F.col("copies")).over(before), F.lit(0)))
 
 
 def _folded(children: DataFrame, node: Column, place: str) -> DataFrame:
@@ -49,6 +49,7 @@ def _folded(children: DataFrame, node: Column, place: str) -> DataFrame:
 def tree(records: DataFrame) -> list[DataFrame]:
     """Levels from ranges (file, range) and files up to the root; each as (node, parent, digest)."""
     ranged = records.withColumn("node", F.struct("file", F.floor(F.col("offset") / RANGE_BYTES).alias("range")))
+    ranged = ranged.withColumn("digest", F.concat_ws("x", F.col("copies").cast("string"), "digest"))
     ranges = write_stage(_folded(ranged, F.col("node"), "offset").select(F.col("node.file").alias("file"), F.col("node.range").alias("range"), "digest"), "ranges")
     files = write_stage(_folded(ranges, F.col("file"), "range"), "files")
     levels = [ranges.select(F.struct("file", "range").alias("node"), F.col("file").alias("parent"), "digest")]
@@ -82,7 +83,7 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
     of = lambda r: r.withColumn("range", F.floor(F.col("offset") / RANGE_BYTES)).join(ranges, ["file", "range"], "left_semi")
     side = lambda r, s: of(r).select("file", "id", *[F.col(c).alias(f"{c}_{s}") for c in ("digest", "length", "offset", "copies")])
     a, b = side(left, "a"), side(right, "b")
-    same = (a["file"] == b["file"]) & a["id"].eqNullSafe(b["id"]) & (a["digest_a"] == b["digest_b"]) & (a["offset_a"] == b["offset_b"])
+    same = (a["file"] == b["file"]) & a["id"].eqNullSafe(b["id"]) & (a["digest_a"] == b["digest_b"]) & (a["offset_a"] == b["offset_b"]) & (a["copies_a"] == b["copies_b"])
     only_a, only_b = a.join(b, same, "left_anti"), b.join(a, same, "left_anti")
     # records of one id meet in order of digest
     key = lambda d, s: d.withColumn("n", F.row_number().over(Window.partitionBy("file", "id").orderBy(f"digest_{s}")))
@@ -90,7 +91,7 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
     met = x.join(y, (F.col("x.file") == F.col("y.file")) & F.col("x.id").eqNullSafe(F.col("y.id")) & (F.col("x.n") == F.col("y.n")), "full")
     kind = (
         F.when(F.col("y.file").isNull(), "missing").when(F.col("x.file").isNull(), "extra")
-        .when(F.col("digest_a") == F.col("digest_b"), "moved").otherwise("changed")
+        .when(F.col("digest_a") != F.col("digest_b"), "changed").when(F.col("copies_a") != F.col("copies_b"), "copies").otherwise("moved")
     )
     return met.select(
         F.coalesce("x.id", "y.id").alias("id"), F.coalesce("x.file", "y.file").alias("file"), "offset_a", "offset_b", "length_a", "length_b", "digest_a", "digest_b", kind.alias("kind")

@@ -206,6 +206,14 @@ def test_warc_audit(spark):
     assert gone.where("kind = 'missing'").count() == gone.count() == archive.count()
 
 
+def test_warc_audit_counts_repeats(spark):
+    rows = [(i, f"u{i}", "x" * i) for i in range(5)]
+    schema = "page_id long, url string, html string"
+    archive, repeated = (warc_audit.archive(spark.createDataFrame(r, schema)) for r in (rows, [*rows, rows[3]]))
+    found = {(r.id, r.kind) for r in warc_audit.audit(archive, repeated).collect()}
+    assert found == {(3, "copies"), (4, "moved")}
+
+
 def test_language_edges(spark, untidy):
     model = language_id.fit(untidy, language_id.learned_from())
     found = {r.row.text: r.lang_pred for r in language_id.identified(untidy, model, keep="*").collect()}
