@@ -13,6 +13,7 @@ host and path, fits no rule and is allowed, as are hosts without any score. Null
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from postmill.session import write_stage
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING = 0.85
-ROUNDS = 30
-TOLERANCE = 1e-4
 THRESHOLD = 0.5
+TOLERANCE = 0.01
+"""How far off a rank may be, as a share of the margin of a verdict."""
+ROUNDING = 1e-13
 BROADCAST_HOSTS = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
@@ -53,8 +55,10 @@ def _rules_of_hosts(hosts: DataFrame, rules: Sequence[tuple[str, str, str]]) ->
     return fitting.groupBy("host").agg(rows.alias("rules"))
 
 
-def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Personalised PageRank: node, rank. ``edges`` (src, dst, n), ``seeds`` (node); ranks add up to 1, dead ends return to the seeds."""
+def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, tolerance: float = 1e-8) -> DataFrame:
+    """Personalised PageRank: node, rank. ``edges`` (src, dst, n), ``seeds`` (node); ranks add up to 1, dead ends return to the seeds.
+
+    A round shrinks the change by ``damping`` at least, so it ends without ``rounds``: once the changes left add up to less than ``tolerance``."""
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     flow = write_stage(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share")), "flow")
     start = write_stage(seeds.select("node").distinct(), "seeds")
@@ -62,14 +66,14 @@ def pagerank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, round
     ranks = start.withColumn("rank", F.lit(1.0 / max(number, 1)))
     if not number or flow.isEmpty():
         return ranks
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         sent = ranks.join(flow, F.col("node") == F.col("src")).select(F.col("dst").alias("node"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         moved = sent.agg(F.sum("rank")).first()[0] or 0.0
         back = start.select("node", F.lit((1.0 - moved) / number).alias("rank"))
         new = write_stage(sent.unionAll(back).groupBy("node").agg(F.sum("rank").alias("rank")), "ranks")
         change = new.join(ranks.withColumnRenamed("rank", "was"), "node", "full").agg(F.sum(F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("was", F.lit(0.0))))).first()[0]
         ranks = new
-        if change < tolerance:
+        if change * damping < max(tolerance * (1 - damping), ROUNDING):
             break
     return ranks
 
@@ -96,9 +100,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, thres
     linked = pages.where(F.col("html").contains("//")).select(host.alias("src"), F.explode(targets).alias("dst"))
     edges = linked.where((F.col("src") != F.col("dst")) & (F.col("src") != "")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     edges = write_stage(edges, "edges")
-    trust = pagerank(edges, good)
-    distrust = pagerank(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), bad)
     nodes = shares.select(F.col("host").alias("node")).unionAll(edges.select("src")).unionAll(edges.select("dst")).distinct().count()
+    near = TOLERANCE * threshold / max(nodes, 1)
+    trust = pagerank(edges, good, tolerance=near)
+    distrust = pagerank(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), bad, tolerance=near)
 
     zero = F.lit(0.0)
     scored = trust.withColumnRenamed("rank", "trust").join(distrust.withColumnRenamed("rank", "distrust"), "node", "full").select(

@@ -194,6 +194,12 @@ def test_pagerank_by_matrix(spark):
     assert np.allclose([found.get(str(i), 0.0) for i in range(12)], rank, atol=1e-8)
 
 
+def test_pagerank_ends_by_its_tolerance(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    found = {r.node: r["rank"] for r in url_trust.pagerank(edges, spark.createDataFrame([("a",)], "node string"), tolerance=1e-3).collect()}
+    assert abs(found["a"] - 1 / 1.85) < 1e-3
+
+
 def test_warc_audit(spark):
     rows = [(i, f"u{i}", "x" * (i % 7) * 40) for i in range(3000)] + [(None, "u", "y"), (7, "u7", "x" * 0), (8, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
