@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, raking, substring_dedup, topk_search, url_trust, warc_audit
+from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, raking, spelling, substring_dedup, topk_search, url_trust, warc_audit
 from postmill.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,12 @@ def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text", "lang", "source")
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words and the more frequent form it varies."""
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_topk_search"] = """
