@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, raking, spelling, substring_dedup, topk_search, url_trust, warc_audit
+from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, phrase_graph, raking, spelling, substring_dedup, topk_search, url_trust, warc_audit
 from postmill.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,12 @@ def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text", "lang", "source")
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of two to five words of every language."""
+    return phrase_graph.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word with its near words and the more frequent form it varies."""
@@ -200,6 +206,36 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
 FROM docs d LEFT JOIN n_hit h USING (doc_id) LEFT JOIN n_items t USING (doc_id)
 """
 
+ORACLES["op11_collocations"] = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM texts),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces WHERE len(w) > 0),
+counts AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k AS size, count(*)::HUGEINT AS f
+  FROM places, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2),
+parts AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(a) AS f
+  FROM candidates, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(2, 5)) AS k) WHERE k < size AND i + k - 1 <= size GROUP BY ALL
+),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN parts p USING (lang, phrase) WHERE p.f IS NULL OR 100 * p.f < 100 * a),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n, (1000 * c.a * n) // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept) c JOIN totals USING (lang)
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM lowest QUALIFY rank <= 2000
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)
