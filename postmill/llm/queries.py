@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, phrase_graph, raking, spelling, substring_dedup, topk_search, url_trust, warc_audit
+from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, phrase_graph, raking, resharding, spelling, substring_dedup, topk_search, url_trust, warc_audit
 from postmill.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
 
 
+@query
+def op13_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, laid in 6 shards by their text, moved into 8 shards of equal bytes."""
+    return resharding.resharded(table(spark, sf_dir, "documents"))
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op2_topk_search"] = """
