@@ -177,12 +177,12 @@ def unary_paths(found: DataFrame, width: int = WIDTH, least: int = LEAST) -> Dat
     out = heavy.select("lang", tail.alias("node"), F.col("phrase").alias("after"), F.col("weight").alias("weight"))
     joints = write_stage(into.join(out, ["lang", "node", "weight"]), "joints")
     nodes = joints.select("lang", "node").distinct()
-    # what enters and leaves these nodes in all, light edges and ends of pieces included
-    ways = F.array(F.struct(tail.alias("node"), F.lit(1).alias("out")), F.when(F.col("size") == width, F.struct(head.alias("node"), F.lit(0).alias("out"))))
-    passing = found.where(F.col("size") >= width - 1).select("lang", F.explode(F.filter(ways, lambda x: x.isNotNull())).alias("n"))
     nodes = write_stage(nodes.select("lang", "node", F.lit(True).alias("joint")), "nodes")
-    met = join_small(passing.select("lang", "n.*"), nodes, ["lang", "node"]).where("joint")
-    unary = met.groupBy("lang", "node").agg(F.sum("out").alias("out"), F.count(F.lit(1)).alias("ways")).where("out = 1 AND ways = 2").select("lang", "node")
+    # what enters and leaves these nodes in all, light edges and ends of pieces included
+    leaving = join_small(found.where(F.col("size") >= width - 1).select("lang", tail.alias("node"), F.lit(1).alias("out")), nodes, ["lang", "node"], how="inner")
+    entering = join_small(edges.select("lang", head.alias("node"), F.lit(0).alias("out")), nodes, ["lang", "node"], how="inner")
+    ways = leaving.unionAll(entering).groupBy("lang", "node").agg(F.sum("out").alias("out"), F.count(F.lit(1)).alias("ways"))
+    unary = ways.where("out = 1 AND ways = 2").select("lang", "node")
     links = joints.join(unary, ["lang", "node"]).select("lang", F.col("after").alias("phrase"), "before")
     placed = heavy.select("lang", "phrase", "weight").join(links, ["lang", "phrase"], "left")
     # pointers to an earlier edge of the path and the steps to it, doubled until they stand at its first edge
