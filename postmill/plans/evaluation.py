@@ -20,6 +20,6 @@ def run(
     spark = validation.sparkSession
     with job(spark):
         scores = write_stage(evaluate.compare(validation, export, flags, texts, row_no), "scores")
-        append_history(evaluate.history_rows(scores, run_ts), history_path)
+        append_history(evaluate.history_rows(scores, run_ts), history_path, run_ts)
         # a row per column and level, no more
         return spark.createDataFrame(scores.collect(), scores.schema)

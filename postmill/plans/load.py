@@ -1,7 +1,7 @@
 """The load job: raw documents to rows of the result table.
 
-Find new documents by their ids alone, open only those, derive fields, stage the
-narrow result, classify distinct phrases, resolve distinct places, fan out, append.
+Mark each line in one scan, find new documents by their ids alone, open only those, derive fields, stage the
+narrow result, classify distinct phrases, resolve distinct places, fan out, merge into the table.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,21 +82,24 @@ def vectors_from_model(open_embedder) -> Callable[[DataFrame], DataFrame]:
     return lambda distinct: hooks.embed(distinct, "phrase", open_embedder)
 
 
-def new_documents(raw: DataFrame, known: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Documents whose id is not known, unopened, with ``ord``.
+def marked(raw: DataFrame) -> DataFrame:
+    """The lines of ``raw`` with ``is_document``, ``_id``, ``scan`` and ``ord``; written as a stage, this is the only look at raw text."""
+    return with_order(with_ids(raw.select("collection", "doc", is_document().alias("is_document"))))
 
-    Against a filled table the new ids are worked out from the ids alone, which
-    is cheap, and the documents are then filtered by them: most are known in a
-    regular run, so the new ids are few and their checked set is broadcast. Long
-    texts are shuffled only when a run brings more new ids than that. Documents
-    without an id match no id and are kept.
+
+def new_documents(lines: DataFrame, table: str, run: int, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Documents of marked ``lines`` whose id no earlier run holds, unopened, with ``scan`` and ``ord``.
+
+    The new ids are worked out from the ids alone, against the filters of the known ones first. Most are known in a
+    regular run, so the new ids are few and their checked set is broadcast. Long texts are shuffled only when a run brings
+    more new ids than that. Documents without an id match no id and are kept.
     """
-    ided = with_order(with_ids(raw))
-    if known.isEmpty():
-        return ided.drop("_id")
-    ids = ided.where(F.col("_id") != "").select(F.col("_id").alias("ord")).distinct()
-    fresh = ids.join(known, F.col("ord") == F.col("MongoDB_ID"), "left_anti").withColumn("_new", F.lit(True))
-    met = join_small(ided, write_stage(fresh, "new_ids"), "ord", broadcast_rows)
+    documents = lines.where("is_document").drop("is_document")
+    if not result_table.has_ids(lines.sparkSession, table, run):
+        return documents.drop("_id")
+    looked_up = write_stage(result_table.looked_up_ids(documents.select("_id"), table, run), "looked_up")
+    fresh = write_stage(result_table.unknown_ids(looked_up, table, run).select(F.col("id").alias("_id"), F.lit(True).alias("_new")), "new_ids")
+    met = join_small(documents, fresh, "_id", broadcast_rows)
     return met.where(F.col("_new") | (F.col("_id") == "")).drop("_new", "_id")
 
 
@@ -184,28 +187,24 @@ def load(
     """
     with job(spark):
         result_table.create(spark, table)
-        total = write_rejects(raw, table, run)
-        documents = new_documents(raw.where(is_document()), result_table.earlier_ids(spark, table, run), inputs.broadcast_rows)
+        lines = write_stage(marked(raw), "lines")
+        write_rejects(lines, table, run)
+        documents = new_documents(lines, table, run, inputs.broadcast_rows)
         staged = write_stage(derive(documents, inputs), "derived")
         decided = decide_phrases(staged, inputs)
         if log_path:
             decided = write_stage(decided, "decided")
             files.append_log(classify.score_log(decided, inputs.threshold), log_path, run)
         result_table.append_run(result_rows(staged, decided, inputs), table, run)
-        new, rejected = staged.count(), rejects(spark, table).where(F.col("run") == run).count()
+        total, rejected = lines.agg(F.count(F.lit(1)), F.count_if(~F.col("is_document"))).first()
+        new = staged.count()
     counted = [(total - rejected, new, total - rejected - new, rejected)]
     return spark.createDataFrame(counted, "total_jobs bigint, new_jobs bigint, skipped_jobs bigint, rejected_lines bigint")
 
 
-def write_rejects(raw: DataFrame, table: str, run: int) -> int:
-    """Lines which are no JSON objects, kept with their text as ``rejects/run=<n>``; returns how many lines ``raw`` has.
-
-    Lines are counted by the pass that looks for rejects. Writing a run again replaces it.
-    """
-    lines = Observation()
-    seen = raw.select("collection", "doc").observe(lines, F.count(F.lit(1)).alias("lines"))
-    seen.where(~is_document()).write.mode("overwrite").parquet(f"{table}/rejects/run={run}")
-    return lines.get["lines"]
+def write_rejects(lines: DataFrame, table: str, run: int) -> None:
+    """Marked lines which are no JSON objects, kept with their text as ``rejects/run=<n>``. Writing a run again replaces it."""
+    lines.where("NOT is_document").select("collection", "doc").write.mode("overwrite").parquet(f"{table}/rejects/run={run}")
 
 
 def rejects(spark: SparkSession, table: str) -> DataFrame:

@@ -87,7 +87,7 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "result")
     raw = fx.lines_with_rejects(spark, sf_dir)
     for run, lines in ((1, raw.where("collection = 'a'")), (2, raw), (2, raw)):
-        load_plan.write_rejects(lines, path, run)
+        load_plan.write_rejects(load_plan.marked(lines), path, run)
     return load_plan.rejects(spark, path).select("run", "collection", "doc")
 
 
@@ -527,7 +527,7 @@ def metric_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "history")
     scores = write_stage(_scores(spark, sf_dir), "scores")
     for stamp in ("2025-05-05 10:00:00", "2025-05-05 11:00:00"):
-        files.append_history(evaluate.history_rows(scores, stamp), path)
+        files.append_history(evaluate.history_rows(scores, stamp), path, stamp)
     wide = files.read_history(spark, path)
     return wide.select(
         "run_ts", *[F.round(c, 6).alias(c) for c in ("overall_accuracy", "overall_recall", "incentive_accuracy", "non_incentive_recall")],

@@ -1,22 +1,63 @@
-"""Existence checks and scans of written tables."""
+"""Existence checks, small files and scans of written tables."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True if the path can be resolved; nothing is read but its listing."""
+    """True if there is such a path: one call of its file system, nothing is read."""
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    files, where = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all in it; its name must be the job's own."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    files, where = _file_system(spark, path)
+    stream = files.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file."""
+    files, where = _file_system(spark, path)
+    stream = files.create(where, True)
     try:
-        spark.read.schema("x string").text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file its name; a file of that name is replaced."""
+    files, where = _file_system(spark, source)
+    to = _file_system(spark, target)[1]
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    replace = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    replace[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(files.makeQualified(where), files.makeQualified(to), replace)
 
 
 def spread(df: DataFrame) -> DataFrame:
