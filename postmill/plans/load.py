@@ -195,7 +195,7 @@ def load(
         if log_path:
             decided = write_stage(decided, "decided")
             files.append_log(classify.score_log(decided, inputs.threshold), log_path, run)
-        result_table.append_run(result_rows(staged, decided, inputs), table, run)
+        result_table.append_run(write_stage(result_rows(staged, decided, inputs), "result_rows"), table, run)
         total, rejected = lines.agg(F.count(F.lit(1)), F.count_if(~F.col("is_document"))).first()
         new = staged.count()
     counted = [(total - rejected, new, total - rejected - new, rejected)]

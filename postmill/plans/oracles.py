@@ -560,6 +560,10 @@ def oracle_sql() -> dict[str, str]:
                FROM scores, (VALUES ('2025-05-05 10:00:00'), ('2025-05-05 11:00:00')) x(run_ts) GROUP BY run_ts""",
         ),
         "incremental_skip": with_(ARRIVALS, "SELECT _id, ord FROM kept"),
+        "skip_by_filter": with_(
+            ARRIVALS,
+            "SELECT DISTINCT _id FROM a WHERE _id <> '' AND _id NOT IN (SELECT _id FROM a WHERE ord % 4 = 0 OR ord % 8 = 1)",
+        ),
         "run_counters": with_(
             ARRIVALS,
             """SELECT (SELECT count(*) FROM a) AS total_jobs, (SELECT count(*) FROM kept) AS new_jobs,
@@ -583,6 +587,22 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_incremental": """SELECT event_id, id, value FROM (SELECT event_id, user_id || '/' || event_type AS id, value,
             row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn FROM events) WHERE rn = 1""",
+        "response_repaired": """
+            WITH t AS (
+              SELECT o_orderkey AS k, o_orderkey % 9 AS kind, CASE WHEN o_orderkey % 2 = 1 THEN 'Antwort: ' ELSE '' END AS before,
+                '{"benefits": ["Urlaub ' || o_orderkey AS begin FROM orders),
+            u AS (SELECT *, CASE kind WHEN 0 THEN '", "Rad"], "n": 1}' WHEN 1 THEN '", "Rad' WHEN 2 THEN '"' WHEN 3 THEN '", "x' WHEN 4 THEN ''
+                WHEN 5 THEN '"]' WHEN 6 THEN '"]' WHEN 7 THEN '"]' ELSE '"], "n": 12' END AS kept,
+              CASE WHEN kind = 0 THEN '' WHEN kind IN (1, 3, 4) THEN '"]}' WHEN kind = 2 THEN ']}' ELSE '}' END AS closed,
+              CASE kind WHEN 0 THEN 18 WHEN 1 THEN 7 WHEN 2 THEN 3 WHEN 3 THEN 6 WHEN 4 THEN 4 WHEN 5 THEN 6 WHEN 6 THEN 8 WHEN 7 THEN 11 ELSE 11 END AS more FROM t)
+            SELECT k AS order_key, begin || kept || closed AS json, closed, length(before || begin) + more AS stopped_at,
+              'Urlaub ' || k || CASE kind WHEN 0 THEN '|Rad' WHEN 1 THEN '|Rad' WHEN 3 THEN '|x' ELSE '' END AS phrases FROM u""",
+        "label_dictionary": """
+            WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}_]+')) AS word FROM documents),
+            d AS (SELECT word, left(word, 1) || length(word) AS label FROM t WHERE regexp_full_match(word, '[a-z]{6,}')
+              GROUP BY word ORDER BY count(*) DESC, word LIMIT 5000),
+            f AS (SELECT doc_id, string_agg(label, '|' ORDER BY label) AS labels FROM (SELECT DISTINCT doc_id, label FROM t JOIN d USING (word)) GROUP BY doc_id)
+            SELECT doc_id, coalesce(labels, '') AS labels FROM documents LEFT JOIN f USING (doc_id)""",
         "load_postings": with_(
             LOADED,
             f"""SELECT full2._id AS "MongoDB_ID", url AS "Job_URL", job_title AS "Job_Titel", portal AS "Portal_Name", datum AS "Datum",
@@ -593,4 +613,4 @@ def oracle_sql() -> dict[str, str]:
                FROM full2 JOIN resp ON resp._id = full2._id LEFT JOIN flags ON flags._id = full2._id WHERE rn = 1""",
         ),
     }
-    return sql | {"stream_load": sql["load_postings"], "compacted_table": sql["upsert"]}
+    return sql | {"stream_load": sql["load_postings"], "compacted_table": sql["upsert"], "stream_state_dedup": sql["stream_incremental"]}

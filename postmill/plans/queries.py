@@ -11,16 +11,16 @@ from postmill import fixed_values as fv
 from postmill.functions.names import named
 from postmill.functions import text as tx
 from postmill.functions import vectors
-from postmill.operators import classify, evaluate, fields, geo, joins, prompts, responses
+from postmill.operators import classify, dictionary, evaluate, fields, geo, joins, prompts, responses
 from postmill.operators.joins import join_small, skip_known
 from postmill.plans import fixtures as fx
 from postmill.plans import load as load_plan
 from postmill.session import work_path, write_stage
-from postmill.sinks import files, result_table
+from postmill.sinks import files, keyed_table, known_ids, result_table
 from postmill.sources import gazetteer as gaz
 from postmill.sources.collections import canonical, completeness, open_documents, union_collections
 from postmill.sources.tables import read_csv, table_exists, underscore_names
-from postmill.streaming import incremental
+from postmill.streaming import incremental, seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -228,6 +228,21 @@ def remote_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("_id", big("remote").alias("remote"), big(fields.either_flag(F.col("remote"), other)).alias("combined"))
 
 
+SYNONYMS = 5000
+
+
+@query
+def label_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of all documents by a dictionary of their 5,000 most frequent words of six letters or more, as whole words."""
+    texts = fx.table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    words = texts.select(F.explode(F.split("text", r"[^\p{L}\p{M}\p{Nd}_]+")).alias("word")).where(F.col("word").rlike("^[a-z]{6,}$"))
+    frequent = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(SYNONYMS).collect()
+    labels: dict[str, list[str]] = {}
+    for row in frequent:
+        labels.setdefault(f"{row.word[0]}{len(row.word)}", []).append(row.word)
+    return dictionary.label_texts(texts, "doc_id", "text", labels).select("doc_id", joined("labels").alias("labels"))
+
+
 @query
 def title_company_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fields.company_and_location(fields.job_title(fx.postings(spark, sf_dir)))
@@ -420,6 +435,22 @@ def response_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("_id", joined("phrases").alias("phrases"), big(F.size("phrases")).alias("n"))
 
 
+CUTS = ["", '", "Rad', '", ', '", "x\\', "\\u00", '"], "n', '"], "n":', '"], "n": tr', '"], "n": 12']
+
+
+@query
+def response_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers cut off in eight ways, and whole ones, closed: the JSON, what was added, where the answer ended, and the phrases read."""
+    k = F.col("o_orderkey")
+    text = F.concat(F.when(k % 2 == 1, "Antwort: ").otherwise(""), F.lit('{"benefits": ["Urlaub '), k.cast("string"))
+    whole = F.concat(text, F.lit('", "Rad"], "n": 1} Ende'))
+    answers = fx.table(spark, sf_dir, "orders").select(
+        k.alias("order_key"), F.when(k % 9 == 0, whole).otherwise(F.concat(text, fx.pick(CUTS, k % 9))).alias("benefits_response")
+    )
+    fixed = responses.phrases(answers.withColumn("r", responses.repaired(F.col("benefits_response"))), repair=True)
+    return fixed.select("order_key", "r.json", "r.closed", big("r.stopped_at").alias("stopped_at"), joined("phrases").alias("phrases"))
+
+
 @query
 def response_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.branch(fx.responses(spark, sf_dir)).select("_id", "branch")
@@ -574,6 +605,16 @@ def incremental_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _skipped(spark, sf_dir).select("_id", "ord")
 
 
+@query
+def skip_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that neither of two runs has added, by the filters and then exactly."""
+    path, arrivals = work_path(spark, "known"), _arrivals(spark, sf_dir)
+    known_ids.add(arrivals.where(F.col("ord") % 4 == 0).select("_id"), path, 1)
+    known_ids.add(arrivals.where(F.col("ord") % 8 == 1).select("_id"), path, 2)
+    found = write_stage(known_ids.looked_up(arrivals.select("_id"), path, 3), "looked_up")
+    return known_ids.new_ids(found, path, 3).select(F.col("id").alias("_id"))
+
+
 @query
 def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.run_counters(_arrivals(spark, sf_dir), _skipped(spark, sf_dir))
@@ -647,6 +688,18 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select("event_id", "id", "value")
 
 
+@query
+def stream_state_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landing in three parts, the stream stopped and started again between them; what was seen is keyed state."""
+    landing, target, checkpoint = (work_path(spark, n) for n in ("landing", "kept", "checkpoint"))
+    events = fx.table(spark, sf_dir, "events").select("event_id", F.concat_ws("/", "user_id", "event_type").alias("id"), "value")
+    top = events.agg(F.max("event_id")).first()[0] + 1
+    for part in range(3):
+        events.where(F.floor(F.col("event_id") * 3 / top) == part).write.mode("append").parquet(landing)
+        seen.keep_first(spark.readStream.schema(events.schema).parquet(landing), "id", ["event_id"], target, checkpoint)
+    return spark.read.parquet(target).select("event_id", "id", "value")
+
+
 @query
 def load_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole load job on JSON documents: two runs, the second meets all documents of the first again."""
