@@ -184,6 +184,24 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def open_generator(name: str):
+    """A hook whose answer to a prompt depends on the prompt's length only."""
+    return lambda **settings: lambda prompts: [ANSWERS[name][len(p) % 8] for p in prompts]
+
+
+def open_translator(lang_pair: str):
+    """A hook that knows the words of ``TRANSLATIONS`` and has no answer for others."""
+    known = {src: dst for src, dst, pair in TRANSLATIONS if pair == lang_pair}
+    return lambda texts: [known.get(t) for t in texts]
+
+
+def repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small documents in groups of three with one id, the first of which has the largest URL."""
+    k = "o_orderkey"
+    doc = f"""concat('{{"_id":"g', floor({k} / 3), '","url":"https://www.p.de/', floor({k} / 3), '/', 9 - {k} % 3, '","Job Title":"t', {k}, '","Company Name":"c', {k} % 7, '"}}')"""
+    return spread(table(spark, sf_dir, "orders").select(k)).selectExpr(f"{k} AS k", f"{doc} AS doc", "'c' AS collection")
+
+
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(city, state, country, ord)``: nations, some of them twice, and one place per customer."""
     nations = table(spark, sf_dir, "nation").join(
@@ -207,11 +225,11 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionAll(again).unionAll(places)
 
 
+TRANSLATIONS = [("Nirgendwo", "NATION_2", "de>en"), ("Staat_2", "Land_2", "en>de"), ("ASIA", "Asien", "en>de")]
+
+
 def translations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [("Nirgendwo", "NATION_2", "de>en"), ("Staat_2", "Land_2", "en>de"), ("ASIA", "Asien", "en>de")],
-        "src string, dst string, lang_pair string",
-    )
+    return spark.createDataFrame(TRANSLATIONS, "src string, dst string, lang_pair string")
 
 
 def phrase_name() -> Column:

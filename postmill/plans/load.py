@@ -20,7 +20,7 @@ from postmill.operators import classify, fields, geo, hooks, prompts, responses
 from postmill.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, first_per_key, join_small, lookup_by_key
 from postmill.schemas import RESULT_COLUMNS
 from postmill.session import job, write_stage
-from postmill.sinks import files, result_table
+from postmill.sinks import answers, files, result_table
 from postmill.sources.collections import canonical, is_document, with_ids, with_order
 
 RESPONSE_COLUMNS = ["experience_response", "benefits_response", "branch_response"]
@@ -32,7 +32,8 @@ class LoadInputs:
 
     ``answer`` takes postings with ``ord`` and the prompt inputs and returns
     them with the three response columns; ``embed`` takes distinct phrases and
-    returns them with ``embedding``. Both may be table joins or model hooks.
+    returns them with ``embedding``. Both may be table joins or model hooks. ``translate``
+    takes names ``(src, lang_pair)`` which the table of translations lacks, and returns them with ``dst``.
     """
 
     answer: Callable[[DataFrame], DataFrame]
@@ -40,6 +41,7 @@ class LoadInputs:
     prototypes: classify.Prototypes
     gazetteer: DataFrame
     translations: DataFrame
+    translate: Callable[[DataFrame], DataFrame] | None = None
     home: str = fv.HOME_COUNTRY
     home_label: str = fv.HOME_COUNTRY_LABEL
     state_names: dict[str, str] = field(default_factory=lambda: dict(fv.STATE_NAMES))
@@ -56,17 +58,25 @@ def answers_from_table(table: DataFrame) -> Callable[[DataFrame], DataFrame]:
 
 
 def answers_from_models(
-    open_experience, open_benefits, open_branch, settings: Mapping[str, Mapping] = fv.GENERATOR_SETTINGS, batch_size: int = hooks.BATCH_SIZE
+    open_experience, open_benefits, open_branch, settings: Mapping[str, Mapping] = fv.GENERATOR_SETTINGS, batch_size: int = hooks.BATCH_SIZE,
+    store: str | None = None, model: str = "",
 ) -> Callable[[DataFrame], DataFrame]:
     """Responses by three generator hooks, opened once per partition each with their settings as keywords.
 
-    Only the key and the prompts cross to Python, once for all three.
+    Only the key and the prompts cross to Python, once for all three. With ``store``, a path, answers are kept there under the ``model``'s name, and
+    only prompts without an answer are asked.
     """
     openers = {"experience": open_experience, "benefits": open_benefits, "branch": open_branch}
     asked = {f"{n}_response": (f"{n}_prompt", partial(hook, **settings.get(n, {}))) for n, hook in openers.items()}
 
     def answer(postings: DataFrame) -> DataFrame:
         prompted = prompts.prompts(postings).select("ord", *[text for text, _ in asked.values()])
+        if store:
+            prompted = write_stage(prompted, "prompts")
+            for name, (text, hook) in asked.items():
+                own = settings.get(name.removesuffix("_response"), {})
+                prompted = answers.answered(prompted, text, name, hook, store, model, own, batch_size=batch_size).drop(text)
+            return postings.join(prompted, "ord", "left")
         return postings.join(hooks.add_by_models(prompted, asked, T.StringType(), batch_size), "ord", "left")
 
     return answer
@@ -87,6 +97,44 @@ def marked(raw: DataFrame) -> DataFrame:
     return with_order(with_ids(raw.select("collection", "doc", is_document().alias("is_document"))))
 
 
+def names_from_model(open_translator: Callable[[str], Callable], store: str, model: str = "") -> Callable[[DataFrame], DataFrame]:
+    """Translations by a hook for each direction (``open_translator(lang_pair)`` opens one), kept in a store of answers."""
+
+    def translated(names: DataFrame) -> DataFrame:
+        parts = []
+        for lang_pair in ("de>en", "en>de"):
+            own = names.where(F.col("lang_pair") == lang_pair).select("src").distinct()
+            found = answers.answered(own, "src", "dst", partial(open_translator, lang_pair), store, model, {"lang_pair": lang_pair})
+            parts.append(found.select("src", F.coalesce("dst", "src").alias("dst"), F.lit(lang_pair).alias("lang_pair")))
+        return parts[0].unionByName(parts[1])
+
+    return translated
+
+
+def all_translations(places: DataFrame, inputs: LoadInputs) -> DataFrame:
+    """The table of translations, with what the model says of names it lacks.
+
+    Asked are place names that are no city of the gazetteer, its states and countries, and what these are called after the first
+    translation, as a hit by a translated city is named twice.
+    """
+    given = inputs.translations.select("src", "dst", "lang_pair")
+    if not inputs.translate:
+        return given
+
+    def model(names: DataFrame, lang_pair: str, known: DataFrame) -> DataFrame:
+        lacking = names.toDF("src").where("src <> ''").distinct().withColumn("lang_pair", F.lit(lang_pair))
+        return write_stage(inputs.translate(lacking.join(known, ["src", "lang_pair"], "left_anti")).select("src", "dst", "lang_pair"), "translated")
+
+    cities = inputs.gazetteer.select(F.lower("city").alias("_city")).distinct()
+    unknown = places.join(cities, F.lower("place") == F.col("_city"), "left_anti").select("place")
+    regions = inputs.gazetteer.select(F.explode(F.array("state", "country")).alias("src"))
+    both = given.unionByName(model(unknown, "de>en", given)).unionByName(model(regions, "en>de", given))
+    shown = both.where("lang_pair = 'en>de'").select("dst").unionByName(
+        inputs.gazetteer.sparkSession.createDataFrame([(n,) for n in [*inputs.state_names.values(), inputs.home_label]], "dst string")
+    )
+    return both.unionByName(model(shown, "en>de", both))
+
+
 def new_documents(lines: DataFrame, table: str, run: int, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Documents of marked ``lines`` whose id no earlier run holds, unopened, with ``scan`` and ``ord``.
 
@@ -137,18 +185,20 @@ def decide_phrases(staged: DataFrame, inputs: LoadInputs) -> DataFrame:
 def result_rows(staged: DataFrame, decided: DataFrame, inputs: LoadInputs) -> DataFrame:
     """Result rows: posting × place × time model, with their order of writing."""
     flags = classify.flags_and_unmatched(decided, ["ord"])
+    places = geo.explode_places(staged.select("ord", "places"))
+    translations = all_translations(places.select("place").distinct(), inputs)
     index = write_stage(
         geo.gazetteer_index(
-            inputs.gazetteer, inputs.translations, inputs.home, inputs.home_label, inputs.state_names
+            inputs.gazetteer, translations, inputs.home, inputs.home_label, inputs.state_names
         ),
         "gazetteer",
     )
     rows = geo.resolve_places(
         geo.explode_places(staged.join(flags, "ord", "left")),
         index,
-        inputs.translations,
+        translations,
         ["ord", "place_pos"],
-        counted=geo.explode_places(staged.select("ord", "places")),
+        counted=places,
         rows_per_task=inputs.rows_per_task,
     )
     rows = rows.select("*", F.posexplode_outer("time_models").alias("time_model_pos", "time_model"))

@@ -613,4 +613,17 @@ def oracle_sql() -> dict[str, str]:
                FROM full2 JOIN resp ON resp._id = full2._id LEFT JOIN flags ON flags._id = full2._id WHERE rn = 1""",
         ),
     }
+    by_length = {
+        "experience_response": prompt(fv.EXPERIENCE_PROMPT, 16, "description"), "benefits_response": prompt(fv.BENEFITS_PROMPT, 16, "benefits_text"),
+        "branch_response": prompt(fv.BRANCH_PROMPT, 16, "job_title"),
+    }
+    hooked = RESP.replace("SELECT 'p' || o_orderkey AS _id", "SELECT _id").replace("FROM orders)", "FROM f)", 1)
+    for name, text in by_length.items():
+        hooked = hooked.replace(answer(name), f"{arr(fx.ANSWERS[name])}[1 + length({text}) % 8]")
+    sql["load_with_hooks"] = sql["load_postings"].replace(RESP, hooked)
+    sql["load_repeated_ids"] = """
+        WITH d AS (SELECT o_orderkey AS k, o_orderkey // 3 AS g, row_number() OVER (PARTITION BY o_orderkey // 3
+            ORDER BY CASE WHEN o_orderkey % 4 < 2 THEN 0 ELSE 1 END, o_orderkey) AS rn FROM orders)
+        SELECT 'g' || g AS "MongoDB_ID", 'https://www.p.de/' || g || '/' || (9 - k % 3) AS "Job_URL", 't' || k AS "Job_Titel",
+          'c' || (k % 7) AS "Unternehmen" FROM d WHERE rn = 1"""
     return sql | {"stream_load": sql["load_postings"], "compacted_table": sql["upsert"], "stream_state_dedup": sql["stream_incremental"]}

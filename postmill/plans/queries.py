@@ -711,6 +711,30 @@ def load_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, path)
 
 
+@query
+def load_with_hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load with models: prompts to a generator, its answers read, names translated. A second load of all documents finds every answer in the store."""
+    path, store = work_path(spark, "result"), work_path(spark, "answers")
+    raw, inputs = fx.documents(spark, sf_dir), fx.load_inputs(spark, sf_dir)
+    inputs.answer = load_plan.answers_from_models(*[fx.open_generator(n) for n in fx.ANSWERS], store=store, model="fixed")
+    inputs.translations, inputs.translate = inputs.translations.limit(0), load_plan.names_from_model(fx.open_translator, store, "fixed")
+    load_plan.load(spark, raw.where(F.col("k") % 2 == 0).drop("k"), path, 1, inputs)
+    load_plan.load(spark, raw.drop("k"), path, 2, inputs)
+    return _loaded(spark, path)
+
+
+@query
+def load_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose ids repeat, in two runs: of each id the first scanned one counts, not the one with the smallest URL."""
+    path = work_path(spark, "result")
+    raw = write_stage(fx.repeated_documents(spark, sf_dir).repartitionByRange(4, "k").sortWithinPartitions("k"), "landed")
+    inputs = fx.load_inputs(spark, sf_dir)
+    load_plan.load(spark, raw.where(F.col("k") % 4 < 2).drop("k"), path, 1, inputs)
+    load_plan.load(spark, raw.drop("k"), path, 2, inputs)
+    now = result_table.current(spark, path)
+    return now.select("MongoDB_ID", "Job_URL", "Job_Titel", "Unternehmen")
+
+
 def _loaded(spark: SparkSession, path: str) -> DataFrame:
     """The current result table with plain column names."""
     now = result_table.current(spark, path)
