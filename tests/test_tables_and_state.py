@@ -5,11 +5,14 @@ import os
 import random
 import re
 
+import pandas as pd
 import pytest
+from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from postmill.operators import dictionary, responses
-from postmill.sinks import keyed_table, known_ids
+from postmill.operators import dictionary, hooks, responses
+from postmill.sinks import answers, keyed_table, known_ids
 from postmill.sources.tables import delete_path, list_names, read_text, rename_path, table_exists, write_text
 from postmill.streaming import seen
 
@@ -249,3 +252,89 @@ def test_repair_changes_no_given_answer(spark):
     plain, fixed = ([r.phrases for r in responses.phrases(given, repair=p).collect()] for p in (False, True))
     # only the cut answer reads more: the text that was open
     assert [n for n, (a, b) in enumerate(zip(plain, fixed, strict=True)) if a != b] == [3] and fixed[3][: len(plain[3])] == plain[3]
+
+
+def counting_model(calls, answer):
+    """A hook that leaves a file per opened model and a line per text asked."""
+
+    def open_model(**settings):
+        path = f"{calls}/{os.getpid()}-{random.random()}"
+
+        def score(texts):
+            with open(path, "a", encoding="utf-8") as file:
+                file.writelines(f"{len(t)}\n" for t in texts)
+            return [answer(t) for t in texts]
+
+        return score
+
+    return open_model
+
+
+def asked(calls):
+    return [int(line) for name in os.listdir(calls) for line in open(f"{calls}/{name}", encoding="utf-8")]
+
+
+def test_nothing_is_asked_twice(spark, tmp_path):
+    calls, path = tmp_path / "calls", str(tmp_path / "answers")
+    calls.mkdir()
+    model = counting_model(calls, str.upper)
+    texts = spark.createDataFrame([("a",), ("bb",), ("a",), (None,), ("",)], "t string")
+    first = answers.answered(texts, "t", "out", model, path, "m", {"x": 1}, wave=2)
+    assert sorted((r.t, r.out) for r in first.collect() if r.t is not None) == [("", ""), ("a", "A"), ("a", "A"), ("bb", "BB")]
+    assert first.where("t IS NULL AND out IS NULL").count() == 1 and sorted(asked(calls)) == [0, 1, 2]
+    opened = len(os.listdir(calls))
+    answers.answered(texts, "t", "out", model, path, "m", {"x": 1}).collect()
+    assert len(os.listdir(calls)) == opened
+    more = texts.unionAll(spark.createDataFrame([("ccc",)], "t string"))
+    assert answers.answered(more, "t", "out", model, path, "m", {"x": 1}).where("out = 'CCC'").count() == 1
+    assert sorted(asked(calls)) == [0, 1, 2, 3]
+    answers.ask(texts, "t", model, path, "m", {"x": 2})
+    answers.ask(texts, "t", model, path, "other", {"x": 1})
+    assert sorted(asked(calls)) == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
+
+
+def test_an_unfinished_wave_is_asked_again(spark, tmp_path, monkeypatch):
+    calls, path = tmp_path / "calls", str(tmp_path / "answers")
+    calls.mkdir()
+    model = counting_model(calls, str.upper)
+    texts = spark.createDataFrame([(str(n),) for n in range(20)], "t string")
+    finish, finished = answers._finish, []
+
+    def killed(*paths):
+        if finished:
+            raise RuntimeError("killed")
+        finished.append(1)
+        finish(*paths)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(answers, "_finish", killed)
+        with pytest.raises(RuntimeError):
+            answers.ask(texts, "t", model, path, "m", wave=7)
+    kept = answers.stored(spark, path, T.StringType()).count()
+    before = len(asked(calls))
+    assert 0 < kept < 20
+    assert answers.ask(texts, "t", model, path, "m", wave=7).count() == 20 and len(asked(calls)) - before == 20 - kept
+
+
+def test_batches_by_length_need_little_padding(spark):
+    rng = random.Random(1)
+    df = spark.createDataFrame([(n, "x" * int(rng.lognormvariate(5, 1))) for n in range(20_000)], "n long, t string").repartition(5)
+
+    def padding(batches):
+        for batch in batches:
+            sizes = [len(t) for t in batch["t"]]
+            groups = [sizes[i : i + 64] for i in range(0, len(sizes), 64)]
+            yield pd.DataFrame({"padded": [sum(max(g) * len(g) for g in groups)], "own": [sum(sizes)]})
+
+    totals = [
+        d.mapInPandas(padding, "padded long, own long").agg(F.sum("padded") / F.sum("own") - 1).first()[0] for d in (df, hooks.by_length(df, "t", 4))
+    ]
+    assert totals[1] < 0.1 < totals[0]
+
+
+def test_profile_reaches_the_stage(spark):
+    needs = TaskResourceRequests().cpus(2)
+    profile = ResourceProfileBuilder().require(needs).build
+    asked_ = hooks.add_by_models(spark.createDataFrame([("a",)], "t string"), {"o": ("t", lambda: list)}, T.StringType(), profile=profile)
+    plan = asked_._jdf.queryExecution().toString()
+    assert f"Profile: id = {profile.id}" in plan and "cpus, amount: 2.0" in plan
