@@ -204,3 +204,39 @@ def history_wide(
     figures = history.select("run_ts", F.concat_ws("_", name, "metric").alias("figure"), "value")
     others = figures.select("figure").where(~F.col("figure").isin(names)).distinct().orderBy("figure").collect()
     return figures.groupBy("run_ts").pivot("figure", [*names, *[r.figure for r in others]]).agg(F.max("value"))
+
+
+SKETCH_BITS = 12
+
+
+def key_sketches(rows: DataFrame, by: Sequence[str], key: str) -> DataFrame:
+    """A Theta sketch of the distinct keys of every group: at most ``2 ** SKETCH_BITS`` hashes each, whatever the number of keys.
+
+    Sketches of further runs or portals are merged with ``merge_sketches``, without the keys.
+    """
+    # a sketch takes no notice of empty texts, so each key gets a mark
+    marked = F.concat(F.lit("="), F.col(key).cast("string"))
+    return rows.where(F.col(key).isNotNull()).groupBy(*by).agg(F.theta_sketch_agg(marked, SKETCH_BITS).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One sketch per group from those of its parts: the keys in any of them."""
+    return sketches.groupBy(*by).agg(F.theta_union_agg("sketch", SKETCH_BITS).alias("sketch"))
+
+
+def sketch_overlap(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
+    """Estimates of the keys of both sides, of those in both and in either, with a bound on the error.
+
+    A sketch of up to ``2 ** SKETCH_BITS`` keys is exact. Beyond, the bound is four standard errors of the union: ``4 n / sqrt(2 ** SKETCH_BITS - 1)``.
+    """
+    met = a.select(F.col(on), F.col("sketch").alias("_a")).join(b.select(F.col(on), F.col("sketch").alias("_b")), on, "full")
+    estimate = lambda s: F.coalesce(F.theta_sketch_estimate(s), F.lit(0)).cast("long")
+    either = F.coalesce(estimate(F.theta_union(F.col("_a"), F.col("_b"), F.lit(SKETCH_BITS))), F.lit(0))
+    told = met.select(
+        on, estimate(F.col("_a")).alias("estimate_a"), estimate(F.col("_b")).alias("estimate_b"),
+        estimate(F.theta_intersection(F.col("_a"), F.col("_b"))).alias("estimate_both"),
+        F.greatest(either, estimate(F.col("_a")), estimate(F.col("_b"))).alias("estimate_either"),
+    )
+    size = 2**SKETCH_BITS
+    bound = F.when(F.col("estimate_either") < size, F.lit(0.0)).otherwise(4 * F.col("estimate_either") / F.lit(float(size - 1) ** 0.5))
+    return told.withColumn("bound", bound)

@@ -249,10 +249,10 @@ def mean_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("label").agg(mean.alias("mean"))
 
 
-def prototype_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per label: its first vectors as examples, and their mean as context. Ten labels, so 60 rows at any scale."""
+def prototype_rows(spark: SparkSession, sf_dir: str, per_label: int | None = EXAMPLES_PER_LABEL) -> DataFrame:
+    """Per label: its first vectors as examples (all of them for None), and their mean as context. Ten labels, so 60 rows at any scale."""
     vectors = table(spark, sf_dir, "embeddings")
-    examples = first_per_key(vectors, ["label"], ["vec_id"], EXAMPLES_PER_LABEL)
+    examples = first_per_key(vectors, ["label"], ["vec_id"], per_label) if per_label else vectors
     contexts = mean_vectors(examples).withColumnRenamed("mean", "embedding")
     shaped = lambda df, kind: df.select(
         pick(CATEGORIES, F.col("label")).alias("category"), F.col("label").alias("ord"), F.lit(kind).alias("kind"),

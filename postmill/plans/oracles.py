@@ -621,6 +621,13 @@ def oracle_sql() -> dict[str, str]:
     for name, text in by_length.items():
         hooked = hooked.replace(answer(name), f"{arr(fx.ANSWERS[name])}[1 + length({text}) % 8]")
     sql["load_with_hooks"] = sql["load_postings"].replace(RESP, hooked)
+    sql["vector_pruned"] = sql["vector_top5"].replace(f"WHERE rn <= {fx.EXAMPLES_PER_LABEL}", "WHERE rn > 0")
+    sql["key_overlap_sketch"] = with_(
+        P,
+        f"""SELECT portal, count(*) FILTER (one) AS n_1, count(*) FILTER (two) AS n_2, count(*) FILTER (one AND two) AS n_both, true AS within_bound
+            FROM (SELECT {portal_case('url')} AS portal, split_part(url, '?', 1) AS key, bool_or(k % 3 <> 0) AS one, bool_or(k % 2 = 0) AS two
+              FROM f WHERE k % 3 <> 0 OR k % 2 = 0 GROUP BY ALL) GROUP BY portal""",
+    )
     sql["load_repeated_ids"] = """
         WITH d AS (SELECT o_orderkey AS k, o_orderkey // 3 AS g, row_number() OVER (PARTITION BY o_orderkey // 3
             ORDER BY CASE WHEN o_orderkey % 4 < 2 THEN 0 ELSE 1 END, o_orderkey) AS rn FROM orders)

@@ -375,6 +375,33 @@ def vector_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("phrase", big(F.col("rank") + 1).alias("rank"), "r.category", F.round("r.score", 4).alias("score"))
 
 
+MANY_PROTOTYPES = 200_000
+
+
+@query
+def vector_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best categories of every phrase with all vectors as examples; groups which cannot matter are skipped."""
+    prototypes = classify.Prototypes.collect(fx.prototype_rows(spark, sf_dir, None), MANY_PROTOTYPES)
+    r = classify.score_pruned(fx.phrases(spark, sf_dir), classify.PrototypeGroups(prototypes)).select("phrase", F.posexplode("ranked").alias("rank", "r"))
+    return r.select("phrase", big(F.col("rank") + 1).alias("rank"), "r.category", F.round("r.score", 4).alias("score"))
+
+
+@query
+def key_overlap_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL keys of the postings per portal and run as sketches: the keys of each run and of both, and whether the estimates keep their bound."""
+    p = fields.portal(fx.postings(spark, sf_dir)).select("portal", tx.url_key(F.col("url")).alias("key"), F.col("k"))
+    runs = p.where(F.col("k") % 3 != 0).withColumn("run", F.lit(1)).unionByName(p.where(F.col("k") % 2 == 0).withColumn("run", F.lit(2)))
+    sketches = write_stage(evaluate.key_sketches(runs, ["portal", "run"], "key"), "sketches")
+    told = evaluate.sketch_overlap(sketches.where("run = 1"), sketches.where("run = 2"), "portal")
+    sets = runs.groupBy("portal", "key").agg(F.max((F.col("run") == 1).cast("int")).alias("one"), F.max((F.col("run") == 2).cast("int")).alias("two"))
+    exact = sets.groupBy("portal").agg(F.sum("one").alias("n_1"), F.sum("two").alias("n_2"), F.sum(F.col("one") * F.col("two")).alias("n_both"))
+    near = lambda e, n: F.abs(F.col(e) - F.col(n)) <= F.col("bound")
+    return exact.join(told, "portal").select(
+        "portal", big("n_1").alias("n_1"), big("n_2").alias("n_2"), big("n_both").alias("n_both"),
+        (near("estimate_a", "n_1") & near("estimate_b", "n_2") & near("estimate_both", "n_both")).alias("within_bound"),
+    )
+
+
 def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     categories = [c for c in fx.CATEGORIES if c != fv.DROPPED_CATEGORY]
     return classify.flags_and_unmatched(_ranked(spark, sf_dir), ["posting"], categories)

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -146,3 +147,25 @@ def test_three_prompts_in_one_pass(spark):
     assert {r.experience_response for r in rows} == {"e 15 5 1"}
     assert {r.benefits_response for r in rows} == {"b 350 5 2"}
     assert {r.branch_response for r in rows} == {"c 20 5 0"}
+
+
+def test_pruned_scores_equal_all_scores(spark):
+    """100,000 examples around 50 themes: the results of looking at all, for a small share of the products."""
+    rng = np.random.default_rng(3)
+    themes = rng.normal(size=(50, 32))
+    examples = [themes[rng.integers(5 * n, 5 * n + 5, 10_000)] + rng.normal(scale=0.25, size=(10_000, 32)) for n in range(10)]
+    examples[3][17] = 0
+    contexts = np.stack([e.mean(axis=0) for e in examples])
+    unit = lambda m: classify._unit_rows(list(m))
+    prototypes = classify.Prototypes([f"c{n}" for n in range(10)], list(range(10)), [unit(e) for e in examples], unit(contexts))
+    vectors = np.concatenate([themes[rng.integers(0, 50, 150)] + rng.normal(scale=0.4, size=(150, 32)), rng.normal(size=(20, 32)), np.zeros((1, 32)), examples[2][:5]])
+    phrases = spark.createDataFrame([(f"p{n}", v.tolist()) for n, v in enumerate(vectors)], "phrase string, embedding array<double>").repartition(2)
+    groups = classify.PrototypeGroups(prototypes)
+    plain = {r.phrase: r.ranked for r in classify.score_ranked(phrases, prototypes).collect()}
+    pruned = classify.score_pruned(phrases, groups).collect()
+    assert len(pruned) == len(plain) == len(vectors) and len(groups) == 100_000
+    for row in pruned:
+        assert [x.category for x in row.ranked] == [x.category for x in plain[row.phrase]]
+        assert [x.score for x in row.ranked] == pytest.approx([x.score for x in plain[row.phrase]], abs=1e-12)
+    skipped = 1 - sum(r.products for r in pruned) / (len(pruned) * len(groups))
+    assert skipped > 0.5, skipped

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from postmill.operators import evaluate
 
@@ -57,3 +58,17 @@ def test_missing_and_unlike_cells(spark):
     cells = evaluate.cell_counts(evaluate.reconcile(left, right, ["k"]), ["a", "b", "c"], [])
     found = {r.column_name: (r.tp, r.fp, r.fn, r.tn) for r in cells.collect()}
     assert found == {"a": (1, 0, 0, 2), "b": (0, 1, 2, 1), "c": (2, 1, 1, 0)}
+
+
+def test_key_sketches(spark):
+    keys = spark.range(60_000).select((F.col("id") % 2).alias("side"), (F.shiftright("id", 1) % 25_000 + (F.col("id") % 2) * 5_000).cast("string").alias("key"))
+    few = spark.createDataFrame([(0, ""), (0, "a"), (0, "a"), (0, None), (1, "a"), (1, "b")], "side long, key string")
+    for rows, want, exact in ((few, (2, 2, 1, 3), True), (keys, (25_000, 25_000, 20_000, 30_000), False)):
+        parts = rows.withColumn("part", F.xxhash64("key") % 3).withColumn("portal", F.lit("p"))
+        sketches = evaluate.merge_sketches(evaluate.key_sketches(parts, ["portal", "side", "part"], "key"), ["portal", "side"])
+        told = evaluate.sketch_overlap(sketches.where("side = 0"), sketches.where("side = 1"), "portal").first()
+        got = (told.estimate_a, told.estimate_b, told.estimate_both, told.estimate_either)
+        assert all(abs(x - y) <= told.bound for x, y in zip(got, want, strict=True)) and (told.bound == 0) == exact
+    one = evaluate.key_sketches(few.withColumn("portal", F.lit("p")), ["portal"], "key")
+    alone = evaluate.sketch_overlap(one, one.where("portal = 'q'"), "portal").first()
+    assert (alone.estimate_a, alone.estimate_b, alone.estimate_both, alone.estimate_either) == (3, 0, 0, 3)
