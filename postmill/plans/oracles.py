@@ -628,6 +628,9 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT {portal_case('url')} AS portal, split_part(url, '?', 1) AS key, bool_or(k % 3 <> 0) AS one, bool_or(k % 2 = 0) AS two
               FROM f WHERE k % 3 <> 0 OR k % 2 = 0 GROUP BY ALL) GROUP BY portal""",
     )
+    sql["collection_splits"] = """
+        WITH d AS (SELECT o_orderkey AS k, '{"_id":"p' || o_orderkey || '","n":"' || o_orderpriority || '"}' AS doc FROM orders)
+        SELECT doc, CAST(sum(strlen(doc) + 1) OVER (ORDER BY k) - strlen(doc) - 1 AS BIGINT) AS position, 3::BIGINT AS readings FROM d"""
     sql["load_repeated_ids"] = """
         WITH d AS (SELECT o_orderkey AS k, o_orderkey // 3 AS g, row_number() OVER (PARTITION BY o_orderkey // 3
             ORDER BY CASE WHEN o_orderkey % 4 < 2 THEN 0 ELSE 1 END, o_orderkey) AS rn FROM orders)

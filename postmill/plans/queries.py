@@ -17,6 +17,7 @@ from postmill.plans import fixtures as fx
 from postmill.plans import load as load_plan
 from postmill.session import work_path, write_stage
 from postmill.sinks import files, keyed_table, known_ids, result_table
+from postmill.sources import dumps
 from postmill.sources import gazetteer as gaz
 from postmill.sources.collections import canonical, completeness, open_documents, union_collections
 from postmill.sources.tables import read_csv, table_exists, underscore_names
@@ -91,6 +92,22 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_plan.rejects(spark, path).select("run", "collection", "doc")
 
 
+@query
+def collection_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed file read in 1, 7 and 50 splits: each document with its position, and how many of the three readings have it there."""
+    folder = work_path(spark, "dump")
+    docs = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.concat(F.lit('{"_id":"p'), "o_orderkey", F.lit('","n":"'), "o_orderpriority", F.lit('"}')).alias("value"))
+    docs.coalesce(1).sortWithinPartitions("k").select("value").write.text(folder)
+    spark.dataSource.register(dumps.DumpSource)
+    size = sum(dumps.list_dumps(folder).values())
+    readings = [
+        spark.read.format(dumps.NAME).option("path", folder).option("splitBytes", -(-size // number)).load().withColumn("splits", F.lit(number))
+        for number in (1, 7, 50)
+    ]
+    every = readings[0].unionByName(readings[1]).unionByName(readings[2])
+    return every.groupBy("doc", "position").agg(F.count_distinct("splits").alias("readings"))
+
+
 @query
 def canonical_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON documents opened and projected to the canonical schema."""
