@@ -189,6 +189,11 @@ def open_generator(name: str):
     return lambda **settings: lambda prompts: [ANSWERS[name][len(p) % 8] for p in prompts]
 
 
+def open_letter_counter():
+    """An embedding hook: how often each letter from a to z stands in a text."""
+    return lambda texts: [[float(t.lower().count(c)) for c in "abcdefghijklmnopqrstuvwxyz"] for t in texts]
+
+
 def open_translator(lang_pair: str):
     """A hook that knows the words of ``TRANSLATIONS`` and has no answer for others."""
     known = {src: dst for src, dst, pair in TRANSLATIONS if pair == lang_pair}

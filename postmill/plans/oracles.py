@@ -628,6 +628,20 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT {portal_case('url')} AS portal, split_part(url, '?', 1) AS key, bool_or(k % 3 <> 0) AS one, bool_or(k % 2 = 0) AS two
               FROM f WHERE k % 3 <> 0 OR k % 2 = 0 GROUP BY ALL) GROUP BY portal""",
     )
+    values = ", ".join(
+        f"({s(c)}, {n}, {s(kind)}, {s(text)})" for n, (c, examples, context) in enumerate(fv.PROTOTYPES)
+        for kind, text in [*[("example", e) for e in examples], ("context", context)]
+    )
+    letters = lambda t: f"list_transform(range(26), lambda i: (length({t}) - length(replace(lower({t}), chr((97 + i)::INT), '')))::DOUBLE)"
+    sql["prototype_best"] = with_(
+        P,
+        f"""SELECT phrase, category AS best_category, round(combined, 4) AS best_score, CASE WHEN combined > {fv.THRESHOLD} THEN 1 ELSE 0 END::BIGINT AS assigned,
+              5::BIGINT AS ranked FROM (
+            SELECT phrase, category, ord, 0.8 * max(cos) FILTER (kind = 'example') + 0.2 * max(cos) FILTER (kind = 'context') AS combined FROM (
+              SELECT phrase, category, ord, kind, list_cosine_similarity({letters('phrase')}, {letters('text')}) AS cos
+              FROM (SELECT DISTINCT unnest(benefits) AS phrase FROM f), (VALUES {values}) v(category, ord, kind, text) WHERE phrase <> '')
+            GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY combined DESC, ord) = 1""",
+    )
     sql["collection_splits"] = """
         WITH d AS (SELECT o_orderkey AS k, '{"_id":"p' || o_orderkey || '","n":"' || o_orderpriority || '"}' AS doc FROM orders)
         SELECT doc, CAST(sum(strlen(doc) + 1) OVER (ORDER BY k) - strlen(doc) - 1 AS BIGINT) AS position, 3::BIGINT AS readings FROM d"""

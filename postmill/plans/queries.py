@@ -11,7 +11,7 @@ from postmill import fixed_values as fv
 from postmill.functions.names import named
 from postmill.functions import text as tx
 from postmill.functions import vectors
-from postmill.operators import classify, dictionary, evaluate, fields, geo, joins, prompts, responses
+from postmill.operators import classify, dictionary, evaluate, fields, geo, hooks, joins, prompts, responses
 from postmill.operators.joins import join_small, skip_known
 from postmill.plans import fixtures as fx
 from postmill.plans import load as load_plan
@@ -392,6 +392,17 @@ def vector_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("phrase", big(F.col("rank") + 1).alias("rank"), "r.category", F.round("r.score", 4).alias("score"))
 
 
+@query
+def prototype_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All benefits of the postings against the prototypes of the classifier themselves, both embedded by a hook."""
+    prototypes = classify.Prototypes.collect(hooks.embed(classify.prototype_texts(spark), "text", fx.open_letter_counter))
+    phrases = fx.postings(spark, sf_dir).select(F.explode("benefits").alias("phrase")).where("phrase <> ''").distinct()
+    ranked = classify.score_ranked(hooks.embed(phrases, "phrase", fx.open_letter_counter), prototypes)
+    return classify.decide(ranked).select(
+        "phrase", "best_category", F.round("best_score", 4).alias("best_score"), big("assigned").alias("assigned"), big(F.size("ranked")).alias("ranked")
+    )
+
+
 MANY_PROTOTYPES = 200_000
 
 
@@ -679,9 +690,9 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     result_table.create(spark, path)
     rows = write_stage(_table_rows(spark, sf_dir), "rows")
     number = F.substring("MongoDB_ID", 2, 20).cast("bigint")
-    result_table.append_run(rows.where((number % 2 == 1) | (number % 3 == 1)), path, 1)
+    result_table.merge_rows(rows.where((number % 2 == 1) | (number % 3 == 1)), path, 1)
     for _ in range(2):
-        result_table.append_run(rows.where(number % 3 != 1), path, 2)
+        result_table.merge_rows(rows.where(number % 3 != 1), path, 2)
     now = result_table.current(spark, path)
     return now.select(*[F.col(c) for c in fv.RESULT_KEY], "MongoDB_ID", "Unternehmen", F.col("Unternehmensgröße").alias("size_bucket"))
 
@@ -693,10 +704,10 @@ def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     result_table.create(spark, path)
     rows = write_stage(_table_rows(spark, sf_dir), "rows")
     number = F.substring("MongoDB_ID", 2, 20).cast("bigint")
-    result_table.append_run(rows.where((number % 2 == 1) | (number % 3 == 1)), path, 1)
+    result_table.merge_rows(rows.where((number % 2 == 1) | (number % 3 == 1)), path, 1)
     result_table.compact(spark, path, base, 1)
     for _ in range(2):
-        result_table.append_run(rows.where(number % 3 != 1), base, 2)
+        result_table.merge_rows(rows.where(number % 3 != 1), base, 2)
     now = result_table.current(spark, base)
     return now.select(*[F.col(c) for c in fv.RESULT_KEY], "MongoDB_ID", "Unternehmen", F.col("Unternehmensgröße").alias("size_bucket"))
 
@@ -707,7 +718,7 @@ def export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, target = work_path(spark, "result"), work_path(spark, "csv")
     nothing = files.export_table(spark, path, target)
     result_table.create(spark, path)
-    result_table.append_run(_table_rows(spark, sf_dir), path, 1)
+    result_table.merge_rows(_table_rows(spark, sf_dir), path, 1)
     done = files.export_table(spark, path, target)
     read = underscore_names(read_csv(spark, target, "ID bigint, " + ", ".join(f"`{c}` string" for c in load_plan.RESULT_COLUMNS)))
     return read.groupBy("Portal_Name", "Zeitmodell", "Position").agg(
