@@ -8,7 +8,7 @@ Items are read to the driver in parts of at most ``part_chars`` pattern characte
 texts pass through all of them in one chain of tasks without a shuffle. With the usual size of a benchmark there is one part.
 
 Null or empty texts have no words and no hits. Items without words match nothing. Items with a null id hit words but are
-not listed. Repeated items count once by id. Rows with equal ids are kept as they are.
+not listed; ids may be of any simple type and are told as text. Repeated items count once by id. Rows with equal ids are kept as they are.
 """
 
 from __future__ import annotations
@@ -48,21 +48,21 @@ def _windows(width: int):
                 own = {b" ".join(found[i : i + size]) for i in range(len(found) - size + 1)} if found else ()
                 patterns += own
                 ids += [item] * len(own)
-            yield pa.record_batch([pa.array(patterns, pa.binary()), pa.array(ids, pa.int64())], names=["pattern", "item_id"])
+            yield pa.record_batch([pa.array(patterns, pa.binary()), pa.array(ids, pa.string())], names=["pattern", "item_id"])
 
     return cut
 
 
-def item_windows(items: DataFrame, width: int = WIDTH, part_chars: int = PART_CHARS) -> list[list[tuple[str, list[int]]]]:
+def item_windows(items: DataFrame, width: int = WIDTH, part_chars: int = PART_CHARS) -> list[list[tuple[str, list[str]]]]:
     """The windows of all items with the items they belong to, in parts of bounded size."""
-    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    windows = rows.mapInArrow(_windows(width), "pattern binary, item_id long").distinct()
+    rows = items.select(F.col("item_id").cast("string"), F.col("text").cast("binary").alias("text"))
+    windows = rows.mapInArrow(_windows(width), "pattern binary, item_id string").distinct()
     size = windows.agg(F.sum(F.length("pattern") + 16)).first()[0] or 0
     parts = int(-(-size // part_chars)) or 1
     dealt = windows.withColumn("part", F.pmod(F.xxhash64("pattern"), F.lit(parts)))
     out = []
     for part in range(parts):
-        patterns: dict[str, list[int]] = {}
+        patterns: dict[str, list[str]] = {}
         for row in dealt.where(F.col("part") == part).toLocalIterator():
             own = patterns.setdefault(f" {bytes(row['pattern']).decode('latin-1')} ", [])
             if row["item_id"] is not None:
@@ -71,7 +71,7 @@ def item_windows(items: DataFrame, width: int = WIDTH, part_chars: int = PART_CH
     return out
 
 
-def _automaton(windows: list[tuple[str, list[int]]]) -> ahocorasick.Automaton | None:
+def _automaton(windows: list[tuple[str, list[str]]]) -> ahocorasick.Automaton | None:
     if not windows:
         return None
     built = ahocorasick.Automaton()
@@ -108,7 +108,7 @@ def _scan(shared):
             columns["n_words"] = pa.array(counts, pa.int64())
             columns["hit_first"] = pa.array(first, pa.list_(pa.int32()))
             columns["hit_number"] = pa.array(number, pa.list_(pa.int32()))
-            columns["hit_items"] = pa.array(items, pa.list_(pa.int64()))
+            columns["hit_items"] = pa.array(items, pa.list_(pa.string()))
             yield pa.record_batch([columns[name] for name in batch.schema.names], names=batch.schema.names)
 
     return scan
@@ -121,7 +121,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit_words, digests, begins, ends, sizes = [], [], [], [], []
         for n in range(batch.num_rows):
             items = columns["hit_items"][n].as_py()
-            digests.append(hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest())
+            digests.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
             sizes.append(len(items))
             first = np.array(columns["hit_first"][n].as_py(), dtype=np.int64)
             if not len(first):
@@ -162,7 +162,7 @@ def contamination(documents: DataFrame, items: DataFrame, width: int = WIDTH, pa
     empty = F.array().cast("array<int>")
     scanned = documents.select(
         row, F.col("text").cast("binary").alias("text_bytes"), F.lit(0).cast("long").alias("n_words"),
-        empty.alias("hit_first"), empty.alias("hit_number"), F.array().cast("array<bigint>").alias("hit_items"),
+        empty.alias("hit_first"), empty.alias("hit_number"), F.array().cast("array<string>").alias("hit_items"),
     )
     schema = scanned.schema
     for part in item_windows(items, width, part_chars):

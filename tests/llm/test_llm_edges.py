@@ -115,6 +115,14 @@ def test_one_of_each_group(spark, untidy):
     assert kept.where("text IS NULL OR trim(translate(text, '\t\n', '')) = ''").count() == untidy.where("text IS NULL OR trim(translate(text, '\t\n', '')) = ''").count()
 
 
+def test_decontaminate_takes_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "x p q r y"), (2, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("b-2", "p q"), ("a1", "Q R"), (None, "y")], "item_id string, text string")
+    found = {r.doc_id: r for r in decontaminate.digest(docs, items).collect()}
+    assert (found[1].n_hit, found[1].n_items, found[2].n_hit) == (4, 2, 0)
+    assert found[1].items_sha256 == hashlib.sha256(b"a1,b-2").hexdigest()
+
+
 def test_decontaminate_by_brute_force(spark, untidy):
     items = [(1, " ".join(f"P{i}" for i in range(5, 25))), (2, "same, same. same same same same same same same same same"), (2, "w1 w2"), (None, "w3"), (3, None), (4, ""), (5, "--")]
     for part_chars in (decontaminate.PART_CHARS, 60):
