@@ -176,7 +176,7 @@ def with_slots(rows: DataFrame, moves: DataFrame) -> DataFrame:
 
 
 def rewrite(rows: DataFrame, path: str) -> DataFrame:
-    """Write rows with slots anew: one file for each new shard and old file, in the order of slots. Read back with all columns."""
+    """Write rows with slots anew, in the order of slots; what a new shard takes of an old file lies in one file. Read back with all columns."""
     columns = ["row", "id", "old", "file", "slot", "shard"]
     rows.select(columns).sortWithinPartitions("shard", "old", "file", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
     return rows.sparkSession.read.schema(rows.select(columns).schema).parquet(path)
