@@ -220,9 +220,13 @@ def price(block: Block, weights: Sequence[float] = WEIGHTS) -> float:
 def fit(pages: DataFrame) -> tuple[float, ...]:
     """Weights of the features by logistic regression, from the blocks of at most ``FIT_PAGES`` pages whose elements say what they are.
 
-    Both kinds weigh alike. Without examples of both the stated weights stay.
+    Pages are drawn by a hash of their row, in equal shares of all parts of the table, so that only the sample is moved. Both kinds weigh
+    alike. Without examples of both the stated weights stay.
     """
-    sample = pages.where("html <> ''").select(F.col("html").cast("string").alias("html"), F.xxhash64("html").alias("h")).orderBy("h").limit(FIT_PAGES)
+    own = [c for c in ("page_id", "url", "html") if c in pages.columns]
+    chance = F.shiftrightunsigned(F.xxhash64(*own), 11).cast("double") / F.lit(float(1 << 53))
+    drawn = pages.where((F.col("html") != "") & (chance * pages.count() < FIT_PAGES))
+    sample = drawn.select(F.col("html").cast("string").alias("html")).limit(FIT_PAGES)
 
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
