@@ -41,6 +41,9 @@ WIDTH, LEAST, TOP = 5, 100, 2000
 SLOT_BITS = 25
 STRETCH = 1000
 MANY = 0xFFFF
+BLOCK_BYTES = 3 << 19
+ARROW_BYTES = 4 << 20
+"""Texts go to Python in batches of so many bytes; batches by number alone hold tens of MB of whole documents, on both sides."""
 
 _PIECE = np.zeros(256, dtype=bool)
 _PIECE[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -114,7 +117,7 @@ def frequent_pairs(documents: DataFrame, least: int) -> np.ndarray:
 def _stretches(bitmap, width: int) -> Callable:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
-        for batch, data, offsets in text_blocks(batches):
+        for batch, data, offsets in text_blocks(batches, max_bytes=BLOCK_BYTES):
             data, starts, ends, keys, follows, names, code = _block(batch, data, offsets)
             if not len(starts):
                 continue
@@ -152,6 +155,7 @@ def _leading(phrase: str, k: str) -> str:
 
 def windows(documents: DataFrame, width: int = WIDTH, least: int = LEAST) -> DataFrame:
     """lang, phrase, size, weight: edges of ``width`` words, and the shorter windows at ends of pieces and of what can be frequent."""
+    documents.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     texts = documents.where(F.col("text").isNotNull()).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     bitmap = documents.sparkSession.sparkContext.broadcast(frequent_pairs(texts, least))
     stretches = texts.mapInArrow(_stretches(bitmap, width), "lang string, stretch string, places int, weight long")
