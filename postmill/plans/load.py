@@ -233,7 +233,7 @@ def load(
     """Load ``raw`` ``(doc, collection)`` as run ``run``; returns the run counters.
 
     Lines which are no JSON objects are rejected: kept beside the table and counted, never loaded.
-    Runs must be numbered upwards from 1. Repeating a run gives the same table.
+    Runs must be numbered upwards from 1. Repeating the last run gives the same table; an earlier one is refused.
     """
     with job(spark):
         result_table.create(spark, table)

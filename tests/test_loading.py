@@ -103,6 +103,18 @@ def test_history_grows(spark, tmp_path):
     assert rows["2025-01-02 00:00:00"].Boni_recall == 0.0 and rows["2025-01-02 00:00:00"]["13._Gehalt_recall"] is None
 
 
+def test_a_repeated_evaluation_replaces_its_figures(spark, tmp_path):
+    path = str(tmp_path / "h")
+    table = spark.createDataFrame([("u", "c", 1, "s", 1)], "Job_URL string, Unternehmen string, Boni int, Stadt string, row_no int")
+    counts = []
+    for _ in range(2):
+        evaluation.run(table, table, path, "2025-01-01 00:00:00")
+        counts.append(spark.read.parquet(path).count())
+    evaluation.run(table, table, path, "2025-01-02 00:00:00")
+    assert counts[0] == counts[1] > 0 and spark.read.parquet(path).count() == 2 * counts[0]
+    assert files.read_history(spark, path).count() == 2
+
+
 def test_history_keeps_other_columns(spark, tmp_path):
     path = str(tmp_path / "h")
     table = spark.createDataFrame([("u", "c", 1, 1)], "Job_URL string, Unternehmen string, Extra int, row_no int")
