@@ -244,6 +244,14 @@ def test_kinds_of_cuts(spark):
     assert closed(spark, ["no bracket", "", None]) == [None, None, None]
 
 
+def test_an_answer_is_folded_once(spark):
+    given = spark.createDataFrame([('{"benefits": ["A',)], "benefits_response string")
+    folds = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(")
+    assert folds(given.select(responses.repaired(F.col("benefits_response")).alias("r")).select("r.json", "r.closed", "r.stopped_at")) == 1
+    assert folds(responses.phrases(given, repair=True)) == 1
+    assert closed(spark, ['["\U0001f600\\ud83d\\ude0']) == [('["\U0001f600\\ud83d"]', '"]', 14)]
+
+
 def test_repair_changes_no_given_answer(spark):
     from postmill.plans import fixtures as fx
 
