@@ -92,19 +92,24 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_plan.rejects(spark, path).select("run", "collection", "doc")
 
 
+LINES_PER_TASK, TASK_BYTES = 500_000, 32 << 20
+
+
 @query
 def collection_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed file read in 1, 7 and 50 splits: each document with its position, and how many of the three readings have it there."""
     folder = work_path(spark, "dump")
     docs = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.concat(F.lit('{"_id":"p'), "o_orderkey", F.lit('","n":"'), "o_orderpriority", F.lit('"}')).alias("value"))
-    docs.coalesce(1).sortWithinPartitions("k").select("value").write.text(folder)
+    dumps.land(docs, ["k"], f"{folder}/orders.txt", work_path(spark, "drafts"), spark.sparkContext.defaultParallelism + docs.count() // LINES_PER_TASK)
     spark.dataSource.register(dumps.DumpSource)
     size = sum(dumps.list_dumps(folder).values())
     readings = [
         spark.read.format(dumps.NAME).option("path", folder).option("splitBytes", -(-size // number)).load().withColumn("splits", F.lit(number))
         for number in (1, 7, 50)
     ]
+    # dealt out before they are grouped, since the task that reads the file in one split would hold a group for each of its lines
     every = readings[0].unionByName(readings[1]).unionByName(readings[2])
+    every = every.repartition(spark.sparkContext.defaultParallelism + 3 * size // TASK_BYTES, "doc", "position")
     return every.groupBy("doc", "position").agg(F.count_distinct("splits").alias("readings"))
 
 

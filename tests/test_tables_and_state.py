@@ -346,3 +346,12 @@ def test_profile_reaches_the_stage(spark):
     asked_ = hooks.add_by_models(spark.createDataFrame([("a",)], "t string"), {"o": ("t", lambda: list)}, T.StringType(), profile=profile)
     plan = asked_._jdf.queryExecution().toString()
     assert f"Profile: id = {profile.id}" in plan and "cpus, amount: 2.0" in plan
+
+
+def test_a_landed_file_is_sorted_by_many_tasks(spark, tmp_path):
+    from postmill.sources import dumps
+
+    lines = spark.range(0, 500, 1, 7).select((499 - F.col("id")).alias("k"), F.concat(F.lit("l"), 499 - F.col("id")).alias("value"))
+    dumps.land(lines, ["k"], str(tmp_path / "landed" / "one.txt"), str(tmp_path / "drafts"), 5)
+    assert len(dumps.list_dumps(str(tmp_path / "drafts"))) > 1 and list(dumps.list_dumps(str(tmp_path / "landed"))) == [str(tmp_path / "landed" / "one.txt")]
+    assert (tmp_path / "landed" / "one.txt").read_text() == "".join(f"l{n}\n" for n in range(500))
