@@ -348,6 +348,18 @@ def test_profile_reaches_the_stage(spark):
     assert f"Profile: id = {profile.id}" in plan and "cpus, amount: 2.0" in plan
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_table, "ROWS_PER_PART", 20)
+    path, schema = str(tmp_path / "t"), T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    keyed_table.create(spark, path, 2)
+    for run, rows in ((1, [(str(n), n) for n in range(200)]), (2, [(str(n), -n) for n in range(100, 300)] + [(None, 7)])):
+        keyed_table.upsert(spark.createDataFrame(rows, schema), path, run, ["k"], [F.desc("v")], schema)
+        folders = sorted((tmp_path / "t" / "data").glob(f"attempt={run}-*/bucket=*"))
+        assert len(folders) == 2 and all(len(list(f.glob("*.parquet"))) > 2 for f in folders)
+    found = {r.k: r.v for r in keyed_table.read(spark, path, schema).collect()}
+    assert found == {str(n): n if n < 100 else -n for n in range(300)} | {None: 7}
+
+
 def test_a_landed_file_is_sorted_by_many_tasks(spark, tmp_path):
     from postmill.sources import dumps
 
