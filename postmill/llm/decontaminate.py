@@ -5,7 +5,7 @@ byte to byte, so a word keeps its place in the UTF-8 text and a hit can be told
 windows of ``width`` words, shorter items are one window. The automaton holds " w1 … wn " for each distinct window.
 
 Items are read to the driver in parts of at most ``part_chars`` pattern characters; each part is one automaton, and the
-texts pass through all of them in one chain of tasks without a shuffle. With the usual size of a benchmark there is one part.
+texts pass through all of them in one step without a shuffle. With the usual size of a benchmark there is one part.
 
 Null or empty texts have no words and no hits. Items without words match nothing. Items with a null id hit words but are
 not listed; ids may be of any simple type and are told as text. Repeated items count once by id. Rows with equal ids are kept as they are.
@@ -164,11 +164,16 @@ def contamination(documents: DataFrame, items: DataFrame, width: int = WIDTH, pa
         row, F.col("text").cast("binary").alias("text_bytes"), F.lit(0).cast("long").alias("n_words"),
         empty.alias("hit_first"), empty.alias("hit_number"), F.array().cast("array<string>").alias("hit_items"),
     )
-    schema = scanned.schema
-    for part in item_windows(items, width, part_chars):
-        scanned = scanned.mapInArrow(_scan(spark.sparkContext.broadcast(part)), schema)
-    kind = schema["row"].dataType.simpleString()
-    done = scanned.mapInArrow(_spans, f"row {kind}, {OUTPUT}")
+    shared = [spark.sparkContext.broadcast(part) for part in item_windows(items, width, part_chars)]
+
+    def pass_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in shared:
+            batches = _scan(part)(batches)
+        return _spans(batches)
+
+    # one Python worker a task: a step of its own for each would have as many workers a task, each with its own libraries and copies of the rows
+    kind = scanned.schema["row"].dataType.simpleString()
+    done = scanned.mapInArrow(pass_through, f"row {kind}, {OUTPUT}")
     return done if keep == "*" else done.withColumnRenamed("row", keep)
 
 

@@ -311,3 +311,12 @@ def test_empty_tables(spark, untidy, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+def test_texts_are_scanned_in_one_python_step(spark):
+    items = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (2, "m n o")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x a b c d e f g h i j y"), (2, "m n o"), (3, None)], "doc_id long, text string")
+    for part_chars in (1 << 20, 20):
+        found = decontaminate.contamination(docs, items, part_chars=part_chars)
+        assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert {r.doc_id: (r.n_hit, r.n_items) for r in found.collect()} == {1: (10, 1), 2: (3, 1), 3: (0, 0)}
