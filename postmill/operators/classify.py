@@ -223,21 +223,23 @@ class PrototypeGroups:
         k = min(k, most.shape[1])
         alive = most >= np.partition(least, -k, axis=1)[:, -k][:, None]
         direct, met = np.full(most.shape, -np.inf), np.zeros(len(unit), np.int64)
-        # the most promising group of each category first, so that the others meet a high mark
-        order = np.concatenate([first + np.argsort(-upper[:, first:end], axis=1) for first, end in zip(self.firsts, [*self.firsts[1:], len(self.owners)], strict=True)], axis=1)
+        # each vector meets its most promising group of a category first, so that the others meet a high mark; then each group meets all
+        # vectors it may still matter to in one product
         for first, end in zip(self.firsts, [*self.firsts[1:], len(self.owners)], strict=True):
             own = self.owners[first]
-            for place in range(first, end):
-                group = order[:, place]
-                open_ = alive[:, own] & (upper[np.arange(len(unit)), group] >= direct[:, own])
-                if not open_.any():
-                    break
-                for g in np.unique(group[open_]):
-                    rows = np.flatnonzero(open_ & (group == g))
-                    direct[rows, own] = np.maximum(direct[rows, own], (unit[rows] @ self.examples[g].T).max(axis=1))
-                    met[rows] += len(self.examples[g])
+            best = first + upper[:, first:end].argmax(axis=1)
+            for g in np.unique(best[alive[:, own]]):
+                self._meet(np.flatnonzero(alive[:, own] & (best == g)), own, g, unit, direct, met)
+            for g in first + np.argsort(-upper[:, first:end].max(axis=0)):
+                self._meet(np.flatnonzero(alive[:, own] & (best != g) & (upper[:, g] >= direct[:, own])), own, g, unit, direct, met)
         return np.where(alive, fv.DIRECT_WEIGHT * direct + context, -np.inf), met
 
+    def _meet(self, rows: np.ndarray, own: int, group: int, unit: np.ndarray, direct: np.ndarray, met: np.ndarray) -> None:
+        """Multiply out a group for some vectors."""
+        if len(rows):
+            direct[rows, own] = np.maximum(direct[rows, own], (unit[rows] @ self.examples[group].T).max(axis=1))
+            met[rows] += len(self.examples[group])
+
 
 def _centres(rows: np.ndarray, number: int, rounds: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Unit centres and the centre nearest to each row, by rounds of nearest centre and mean."""
@@ -252,7 +254,10 @@ def _centres(rows: np.ndarray, number: int, rounds: int, rng: np.random.Generato
 
 
 def score_pruned(phrases: DataFrame, groups: PrototypeGroups, k: int = fv.TOP_K, phrase: str = "phrase", rows: int = 1024) -> DataFrame:
-    """``score_ranked`` with equal results, and ``products``, the number of examples which were multiplied out, in place of all of them."""
+    """``score_ranked`` with equal results, and ``products``, the number of examples which were multiplied out, in place of all of them.
+
+    The phrases are dealt out, as a row costs more the more prototypes there are: a task holds the phrases of two batches or so, however many come.
+    """
     kept = [f for f in phrases.schema.fields if f.name != "embedding"]
     names = [f.name for f in kept]
     schema = T.StructType([*kept, T.StructField("ranked", T._parse_datatype_string(RANKED)), T.StructField("products", T.LongType())])
@@ -270,7 +275,9 @@ def score_pruned(phrases: DataFrame, groups: PrototypeGroups, k: int = fv.TOP_K,
                 result["products"] = met
                 yield result
 
-    return phrases.where(F.col("embedding").isNotNull()).select(*names, "embedding").mapInPandas(run, schema)
+    embedded = phrases.where(F.col("embedding").isNotNull()).select(*names, "embedding")
+    tasks = max(phrases.sparkSession.sparkContext.defaultParallelism, -(-embedded.count() // (2 * rows)))
+    return embedded.repartition(tasks).mapInPandas(run, schema)
 
 
 def max_per_category(scores: DataFrame, phrase: str = "phrase", score: str = "score") -> DataFrame:

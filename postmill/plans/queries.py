@@ -414,8 +414,11 @@ MANY_PROTOTYPES = 200_000
 @query
 def vector_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best categories of every phrase with all vectors as examples; groups which cannot matter are skipped."""
-    prototypes = classify.Prototypes.collect(fx.prototype_rows(spark, sf_dir, None), MANY_PROTOTYPES)
-    r = classify.score_pruned(fx.phrases(spark, sf_dir), classify.PrototypeGroups(prototypes)).select("phrase", F.posexplode("ranked").alias("rank", "r"))
+    rows = fx.prototype_rows(spark, sf_dir, None)
+    few = rows.count() <= MANY_PROTOTYPES
+    blocks = [classify.Prototypes.collect(rows, MANY_PROTOTYPES)] if few else classify.Prototypes.blocks(rows, MANY_PROTOTYPES)
+    parts = [classify.score_pruned(fx.phrases(spark, sf_dir), classify.PrototypeGroups(block)).select("phrase", "ranked") for block in blocks]
+    r = (parts[0] if few else classify.merge_ranked(parts)).select("phrase", F.posexplode("ranked").alias("rank", "r"))
     return r.select("phrase", big(F.col("rank") + 1).alias("rank"), "r.category", F.round("r.score", 4).alias("score"))
 
 

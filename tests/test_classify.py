@@ -169,3 +169,20 @@ def test_pruned_scores_equal_all_scores(spark):
         assert [x.score for x in row.ranked] == pytest.approx([x.score for x in plain[row.phrase]], abs=1e-12)
     skipped = 1 - sum(r.products for r in pruned) / (len(pruned) * len(groups))
     assert skipped > 0.5, skipped
+
+
+def test_more_phrases_are_scored_by_more_tasks(spark, prototypes):
+    rng = np.random.default_rng(5)
+    phrases = spark.createDataFrame([(f"p{n}", rng.normal(size=2).tolist()) for n in range(100)], "phrase string, embedding array<double>").coalesce(1)
+    pruned = classify.score_pruned(phrases, classify.PrototypeGroups(prototypes), rows=4)
+    assert pruned.rdd.getNumPartitions() == 13
+    plain = {r.phrase: [x.category for x in r.ranked] for r in classify.score_ranked(phrases, prototypes).collect()}
+    assert {r.phrase: [x.category for x in r.ranked] for r in pruned.collect()} == plain
+
+
+def test_more_vectors_than_one_block_holds(spark, sf_dir, monkeypatch):
+    from postmill.plans import queries
+
+    whole = {(r.phrase, r.rank): (r.category, r.score) for r in queries.vector_pruned(spark, sf_dir).collect()}
+    monkeypatch.setattr(queries, "MANY_PROTOTYPES", 200)
+    assert {(r.phrase, r.rank): (r.category, r.score) for r in queries.vector_pruned(spark, sf_dir).collect()} == whole
