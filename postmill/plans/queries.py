@@ -790,7 +790,8 @@ def load_with_hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose ids repeat, in two runs: of each id the first scanned one counts, not the one with the smallest URL."""
     path = work_path(spark, "result")
-    raw = write_stage(fx.repeated_documents(spark, sf_dir).repartitionByRange(4, "k").sortWithinPartitions("k"), "landed")
+    # the documents of an id lie in one file, as files are scanned in an order of their own
+    raw = write_stage(fx.repeated_documents(spark, sf_dir).repartitionByRange(4, F.floor(F.col("k") / 3)).sortWithinPartitions("k"), "landed")
     inputs = fx.load_inputs(spark, sf_dir)
     load_plan.load(spark, raw.where(F.col("k") % 4 < 2).drop("k"), path, 1, inputs)
     load_plan.load(spark, raw.drop("k"), path, 2, inputs)
