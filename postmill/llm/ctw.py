@@ -9,8 +9,9 @@ bits' logarithms is the score. Where a longer context was never seen, the longes
 Counts cover all training texts. A block of texts sends its distinct byte strings of ``depth + 1`` with their counts to buckets, dealt by
 the latest ``TOP`` bytes of the context, so that all longer contexts below these stand in one bucket. Buckets add up counts and weigh their
 subtrees; the driver gathers the nodes of ``TOP`` bytes only, weighs the short contexts above and hands back what those leave to each. With
-that each bucket predicts every string which a block has sent, and answers the block. No context is dropped; ``MAX_GRAMS`` is how many strings
-a bucket takes up at a time. Word counts of at most ``HEAD`` frequent words go to the tasks; rarer words meet their counts in a shuffle, so
+that each bucket predicts every string of a block, and answers the block. Only the blocks are written; their strings are made from them once
+for the counts and again for the answers, as they take more disk than the texts. Predictions of at most ``HEAD`` frequent strings go to the
+tasks, so that blocks ask for the rarer ones only. No context is dropped; ``MAX_GRAMS`` is how many strings a bucket takes up at a time. Word counts of at most ``HEAD`` frequent words go to the tasks; rarer words meet their counts in a shuffle, so
 that each token is exact.
 
 Null and empty texts are the end alone. Rows with equal ids are scored each. Rows without an id are held out. With no training texts
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import LOWER, bucket_count, bucket_of, block_ids, ranges, segments, text_blocks, word_hashes, words
-from postmill.session import write_stage
+from postmill.session import shuffles_removed, write_stage
 
 DEPTH = 6
 TOP = 3
@@ -110,6 +112,15 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
+def _pack_counts(number: np.ndarray) -> bytes:
+    """Counts, place by place: most are small, so that nearly all places but the lowest are zero."""
+    return _squeeze(np.ascontiguousarray(number.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpack_counts(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_widen(packed), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def _floats(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(_widen(packed), np.uint8).reshape(4, -1).T).view("<f4").ravel()
 
@@ -126,38 +137,74 @@ def _dealt(keys: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, np.n
     return order, bucket[order][edges], np.append(edges, len(keys))
 
 
-def _train(depth: int, buckets: int, gram_buckets: int) -> Callable:
-    """Of each block: the counts of its words in training texts, its byte strings with theirs, and the block itself."""
+def _words(buckets: int) -> Callable:
+    """Of each block: the counts of its words in training texts."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = block_ids()
         for batch, data, offsets in text_blocks(batches):
             block = next(ids)
             starts, ends, row = words(data, offsets)
-            stream, limits = byte_stream(data, starts, ends, row, batch.num_rows)
-            id_, held = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "held_out"))
-            learned = held[row] == 0
+            learned = ~_column(batch, "held_out").astype(bool)[row]
             found, number = np.unique(word_hashes(LOWER[data], starts[learned], ends[learned]), return_counts=True)
             bucket = bucket_of(found, buckets)
             edges = np.append(segments(bucket), len(found))
-            rows = [
+            yield _message([
                 (WORDS, block, int(bucket[a]), 0, found[a:b].astype("<u8").tobytes(), number[a:b].astype("<i8").tobytes())
                 for a, b in zip(edges[:-1], edges[1:], strict=True)
-            ]
-            codes = _all_codes(stream, limits, depth)
-            keys = np.unique(codes)
-            seen, times = np.unique(codes[np.repeat(held == 0, np.diff(limits))], return_counts=True)
-            number = np.zeros(len(keys), np.int64)
-            number[np.searchsorted(keys, seen)] = times
-            order, bucket, edges = _dealt(keys, depth, gram_buckets)
-            keys, number = keys[order], number[order]
-            rows += [(GRAMS, block, int(n), 0, _pack(keys[a:b]), _pack(number[a:b])) for n, a, b in zip(bucket, edges[:-1], edges[1:], strict=True)]
-            rows.append((TEXT, block, -1, 0, _squeeze(stream.tobytes()), np.stack([id_, held, limits[1:]]).astype("<i8").tobytes()))
-            yield _message(rows)
+            ])
+
+    return emit
+
+
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in blocks: their bytes, and id, held_out and end of each."""
+    ids = block_ids()
+    for batch, data, offsets in text_blocks(batches):
+        stream, limits = byte_stream(data, *words(data, offsets), batch.num_rows)
+        about = np.stack([_column(batch, "id"), _column(batch, "held_out"), limits[1:]])
+        yield _message([(TEXT, next(ids), -1, 0, _squeeze(stream.tobytes()), about.astype("<i8").tobytes())])
+
+
+def _strings(depth: int, gram_buckets: int, head=None) -> Callable:
+    """Of each block: the distinct byte strings of training texts with their counts; with ``head`` those of all texts which it lacks, to be asked for."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, text, about in zip(*(batch.column(n) for n in range(3)), strict=True):
+                _, held, limits = np.frombuffer(about.as_py(), "<i8").reshape(3, -1)
+                limits = np.append(0, limits)
+                codes = _all_codes(np.frombuffer(_widen(text.as_py()), np.uint8), limits, depth)
+                if head is None:
+                    codes = codes[np.repeat(held == 0, np.diff(limits))]
+                codes.sort()
+                starts = segments(codes)
+                keys, number = codes[starts], np.diff(starts, append=len(codes))
+                if head is not None:
+                    keys = keys[~_found(head.value[0], keys)[0]]
+                order, bucket, edges = _dealt(keys, depth, gram_buckets)
+                keys = keys[order]
+                number = number[order] if head is None else None
+                yield _message([
+                    (GRAMS, block.as_py(), int(n), 0, _pack(keys[a:b]), None if number is None else _pack_counts(number[a:b]))
+                    for n, a, b in zip(bucket, edges[:-1], edges[1:], strict=True)
+                ])
 
     return emit
 
 
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys stand in a sorted table, and where."""
+    if not len(table):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return table[at] == keys, at
+
+
 def _spread(keys: np.ndarray) -> np.ndarray:
     keys = keys * np.uint64(0x9E3779B97F4A7C15)
     return keys ^ (keys >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -184,20 +231,27 @@ def _add_grams(max_grams: int) -> Callable:
         keys, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         more, size = [(keys, number)], 0
         for n, (k, c) in enumerate(zip(messages["keys"], messages["more"], strict=True), 1):
-            k, c = _unpack(k), _unpack(c).astype(np.int64)
-            more.append((k[c > 0], c[c > 0]))
+            more.append((_unpack(k), _unpack_counts(c)))
             size += len(more[-1][0])
             if size >= max(max_grams, len(keys)) or n == len(messages):
                 keys, number = _summed(*(np.concatenate(x) for x in zip((keys, number), *more, strict=True)))
                 more, size = [], 0
-        return pd.DataFrame([(GRAMS, COUNTED, messages["bucket"].iat[0], 0, _pack(keys), _pack(number))], columns=_MESSAGE.names)
+        return pd.DataFrame([(GRAMS, COUNTED, messages["bucket"].iat[0], 0, _pack(keys), _pack_counts(number))], columns=_MESSAGE.names)
 
     return add
 
 
 def _log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Natural logarithm of the Krichevsky-Trofimov probability of n0 zeros and n1 ones."""
-    return _lgamma(n0 + 0.5) + _lgamma(n1 + 0.5) - math.log(math.pi) - _lgamma(n0 + n1 + 1.0)
+    return _lgamma_at(n0, 0.5) + _lgamma_at(n1, 0.5) - math.log(math.pi) - _lgamma_at(n0 + n1, 1.0)
+
+
+def _lgamma_at(n: np.ndarray, plus: float) -> np.ndarray:
+    """Of whole numbers plus 1/2 or 1; most of them are small and looked up."""
+    small = n < len(_SMALL[plus])
+    out = _SMALL[plus][np.where(small, n, 0).astype(np.int64)]
+    out[~small] = _lgamma(n[~small] + plus)
+    return out
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -208,6 +262,9 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
 
 
+_SMALL = {plus: _lgamma(np.arange(1 << 12) + plus) for plus in (0.5, 1.0)}
+
+
 def _drop_oldest(keys: np.ndarray) -> np.ndarray:
     """The same byte (or node) in the context which is one byte shorter."""
     return (keys >> np.uint64(16)) << np.uint64(8) | keys & np.uint64(0xFF)
@@ -268,7 +325,7 @@ def _roots(depth: int) -> Callable:
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, c in zip(batch.column(0), batch.column(1), strict=True):
-                keys, number = _unpack(k.as_py()), _unpack(c.as_py())
+                keys, number = _unpack(k.as_py()), _unpack_counts(c.as_py())
                 for bit in range(8):
                     top = Levels(_leaves(keys, number, bit), depth, min(TOP, depth)).top
                     yield pa.record_batch([pa.array([bit], pa.int32()), *(pa.array([x.tobytes()]) for x in top)], names=["bit", "name", "n0", "n1", "weighted"])
@@ -343,12 +400,43 @@ class Subtrees:
         return total
 
 
+def _frequent(shared, depth: int, least: int) -> Callable:
+    """Training strings with a count of at least ``least``, and their predictions."""
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, c in zip(batch.column(0), batch.column(1), strict=True):
+                keys, number = _unpack(k.as_py()), _unpack_counts(c.as_py())
+                keep = number >= least
+                if keep.any():
+                    logs = Subtrees(keys, number, depth, shared.value).logs
+                    yield pa.record_batch([pa.array([keys[keep].tobytes()]), pa.array([logs[keep].tobytes()])], names=["keys", "logs"])
+
+    return frequent
+
+
+def _frequent_strings(counts: DataFrame, shared, depth: int, head: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``head`` strings in order, and their predictions."""
+    least, _ = _totals(counts, _unpack_counts)
+    cut = next((k for k in range(LEVELS) if least[k] <= head), LEVELS - 1)
+    rows = counts.select("keys", "more").mapInArrow(_frequent(shared, depth, 1 << cut), "keys binary, logs binary").toArrow()
+    keys, logs = (
+        np.concatenate([np.zeros(0, t), *[np.frombuffer(x.as_py(), t) for x in rows[c]]]) for c, t in (("keys", np.uint64), ("logs", np.float32))
+    )
+    order = np.argsort(keys)
+    return keys[order], logs[order]
+
+
 def _predict(shared, depth: int, max_grams: int) -> Callable:
     """Predictions of the strings which blocks ask for, in the order they were sent."""
 
     def predict(messages: pd.DataFrame) -> pd.DataFrame:
         own = messages["block"] == COUNTED
-        keys, number = (_unpack(messages[own][c].iat[0]) for c in ("keys", "more"))
+        if own.all():
+            return messages.iloc[:0]
+        keys, number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if own.any():  # strings of held-out texts may meet no training text
+            keys, number = _unpack(messages[own]["keys"].iat[0]), _unpack_counts(messages[own]["more"].iat[0])
         tree = Subtrees(keys, number, depth, shared.value)
         out, asked, size = [], [], 0
         bucket, sent = messages["bucket"].iat[0], messages[~own]
@@ -414,7 +502,7 @@ def _look_up(messages: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=_MESSAGE.names)
 
 
-def _sum_up(log_all: float, depth: int, buckets: int) -> Callable:
+def _sum_up(head, log_all: float, depth: int, buckets: int) -> Callable:
     def sum_up(messages: pd.DataFrame) -> pd.DataFrame:
         of_kind = {kind: rows for kind, rows in messages.groupby("kind")}
         text, about = of_kind[TEXT].iloc[0], of_kind[ABOUT].iloc[0]
@@ -424,9 +512,13 @@ def _sum_up(log_all: float, depth: int, buckets: int) -> Callable:
         place = np.argsort(codes)
         codes = codes[place]
         starts = segments(codes)
-        order, _, _ = _dealt(codes[starts], depth, buckets)
+        frequent, at = _found(head.value[0], codes[starts])
         told = np.empty(len(starts), np.float32)
-        told[order] = np.concatenate([_floats(x) for x in of_kind[GRAMS].sort_values("bucket")["more"]])
+        told[frequent] = head.value[1][at[frequent]]
+        if GRAMS in of_kind:
+            rare = np.flatnonzero(~frequent)
+            order, _, _ = _dealt(codes[starts[rare]], depth, buckets)
+            told[rare[order]] = np.concatenate([_floats(x) for x in of_kind[GRAMS].sort_values("bucket")["more"]])
         logs = np.empty(len(codes))
         logs[place] = np.repeat(told, np.diff(np.append(starts, len(codes))))
         score = np.add.reduceat(logs, limits[:-1])
@@ -448,17 +540,21 @@ def _sum_up(log_all: float, depth: int, buckets: int) -> Callable:
     return sum_up
 
 
-def _figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many words have a count of at least 2^k, and the sum of counts."""
-    for batch in batches:
-        for c in batch.column(0):
-            number = np.frombuffer(c.as_py(), "<i8")
-            least = [int((number >= 1 << k).sum()) for k in range(LEVELS)]
-            yield pa.record_batch([pa.array([least], pa.list_(pa.int64())), pa.array([int(number.sum())], pa.int64())], names=["least", "total"])
+def _figures(unpack: Callable) -> Callable:
+    """How many words (or strings) have a count of at least 2^k, and the sum of counts."""
+
+    def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in batch.column(0):
+                number = unpack(c.as_py())
+                least = [int((number >= 1 << k).sum()) for k in range(LEVELS)]
+                yield pa.record_batch([pa.array([least], pa.list_(pa.int64())), pa.array([int(number.sum())], pa.int64())], names=["least", "total"])
+
+    return figures
 
 
-def _totals(counts: DataFrame) -> tuple[list[int], int]:
-    figures = counts.select("more").mapInArrow(_figures, "least array<long>, total long")
+def _totals(counts: DataFrame, unpack: Callable = partial(np.frombuffer, dtype="<i8")) -> tuple[list[int], int]:
+    figures = counts.select("more").mapInArrow(_figures(unpack), "least array<long>, total long")
     sums = figures.agg(*[F.sum(F.col("least")[k]).alias(f"k{k}") for k in range(LEVELS)], F.sum("total").alias("total")).first()
     return [sums[f"k{k}"] or 0 for k in range(LEVELS)], sums["total"] or 0
 
@@ -484,7 +580,8 @@ def _collect(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def scores(documents: DataFrame, is_held_out, depth: int = DEPTH, max_grams: int = MAX_GRAMS, head: int = HEAD) -> DataFrame:
-    """Scores of all documents, learned from those which ``is_held_out`` (a condition) does not hold back."""
+    """Scores of all documents, learned from those which ``is_held_out`` (a condition) does not hold back; ``head`` bounds the words and the strings
+    that go to the tasks."""
     spark = documents.sparkSession
     buckets = bucket_count(documents)
     gram_buckets = -(-buckets // GRAM_SHARE)
@@ -492,24 +589,26 @@ def scores(documents: DataFrame, is_held_out, depth: int = DEPTH, max_grams: int
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(is_held_out, F.lit(True)).alias("held_out"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
-    sent = write_stage(texts.mapInArrow(_train(depth, buckets, gram_buckets), MESSAGE), "blocks")
-    word_counts = write_stage(sent.where(F.col("kind") == WORDS).groupBy("bucket").applyInPandas(_add, MESSAGE), "words")
-    strings = sent.where(F.col("kind") == GRAMS)
-    counts = write_stage(strings.groupBy("bucket").applyInPandas(_add_grams(max_grams), MESSAGE), "counts")
+    blocks = write_stage(texts.mapInArrow(_blocks, MESSAGE), "blocks")
+    texts_of = blocks.select("block", "keys", "more")
+    with shuffles_removed(spark):
+        word_counts = write_stage(texts.mapInArrow(_words(buckets), MESSAGE).groupBy("bucket").applyInPandas(_add, MESSAGE), "words")
+        strings = texts_of.mapInArrow(_strings(depth, gram_buckets), MESSAGE)
+        counts = write_stage(strings.groupBy("bucket").applyInPandas(_add_grams(max_grams), MESSAGE), "counts")
     above = spark.sparkContext.broadcast(_short_contexts(counts, depth))
+    frequent = spark.sparkContext.broadcast(_frequent_strings(counts, above, depth, head))
     n_ends = texts.where("not held_out").count()
     least, total = _totals(word_counts)
     n, v = total + n_ends, least[0] + (n_ends > 0)
     cut = next((k for k in range(LEVELS) if least[k] <= head), LEVELS - 1)
     keys, number = _collect(word_counts, 1 << cut)
     model = spark.sparkContext.broadcast((keys, np.log10(number + 0.5), int(n_ends > 0), math.log10(n_ends + 0.5)))
-    blocks = sent.where(F.col("kind") == TEXT)
-    asked = blocks.select("block", "keys", "more").mapInArrow(_bases(model, buckets), MESSAGE)
+    asked = texts_of.mapInArrow(_bases(model, buckets), MESSAGE)
     told = asked.unionAll(word_counts).groupBy("bucket").applyInPandas(_look_up, MESSAGE)
-    asked = strings.withColumn("more", F.lit(None).cast("binary"))
+    asked = texts_of.mapInArrow(_strings(depth, gram_buckets, frequent), MESSAGE)
     predicted = asked.unionAll(counts).groupBy("bucket").applyInPandas(_predict(above, depth, max_grams), MESSAGE)
     done = told.unionAll(predicted).unionAll(blocks).groupBy("block").applyInPandas(
-        _sum_up(math.log10(n + 0.5 * (v + 1)), depth, gram_buckets),
+        _sum_up(frequent, math.log10(n + 0.5 * (v + 1)), depth, gram_buckets),
         "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
     return done.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

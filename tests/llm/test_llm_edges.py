@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from postmill import session
 from postmill.llm import ctw, decontaminate, html_mincut, jaccard_join, language_id, raking, substring_dedup, topk_search, url_trust, warc_audit
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, row string, row_key string, n_words int, lang_pred string, mix_tokens int, score string"
@@ -320,3 +321,25 @@ def test_texts_are_scanned_in_one_python_step(spark):
         found = decontaminate.contamination(docs, items, part_chars=part_chars)
         assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
         assert {r.doc_id: (r.n_hit, r.n_items) for r in found.collect()} == {1: (10, 1), 2: (3, 1), 3: (0, 0)}
+
+
+def test_op9_strings_are_asked_for_but_not_written(spark, monkeypatch):
+    written = {}
+
+    def stage(df, name):
+        written[name] = session.write_stage(df, name)
+        return written[name]
+
+    monkeypatch.setattr(ctw, "write_stage", stage)
+    table = spark.createDataFrame([(n, f"ein Wort {n % 3} und noch eins") for n in range(12)], "doc_id long, text string")
+    before = spark.conf.get(session.SHUFFLE_CLEANUP)
+    ctw.scores(table, F.col("doc_id") % 4 == 1, depth=2, head=5)
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == before
+    assert [r.kind for r in written["blocks"].select("kind").distinct().collect()] == [ctw.TEXT]
+
+
+def test_op9_counts_pack_small():
+    number = np.random.default_rng(1).geometric(0.4, 10_000)
+    assert (ctw._unpack_counts(ctw._pack_counts(number)) == number).all()
+    assert len(ctw._pack_counts(number)) < len(number)
+    assert len(ctw._unpack_counts(ctw._pack_counts(number[:0]))) == 0
