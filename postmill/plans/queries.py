@@ -15,7 +15,7 @@ from postmill.operators import classify, dictionary, evaluate, fields, geo, hook
 from postmill.operators.joins import join_small, skip_known
 from postmill.plans import fixtures as fx
 from postmill.plans import load as load_plan
-from postmill.session import work_path, write_stage
+from postmill.session import compiled_methods, work_path, write_stage
 from postmill.sinks import files, keyed_table, known_ids, result_table
 from postmill.sources import dumps
 from postmill.sources import gazetteer as gaz
@@ -814,8 +814,9 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, inputs = fx.documents(spark, sf_dir), fx.load_inputs(spark, sf_dir)
     folders = {c: work_path(spark, c) for c in ("stepstone", "indeed")}
     for landing in (raw.where(F.col("k") % 2 == 0), raw):
-        for collection, folder in folders.items():
-            landing.where(F.col("collection") == collection).select("doc").write.mode("append").text(folder)
+        with compiled_methods(spark):
+            for collection, folder in folders.items():
+                landing.where(F.col("collection") == collection).select("doc").write.mode("append").text(folder)
         streams = [incremental.read_landed(spark, folder, collection) for collection, folder in folders.items()]
         incremental.load_available(streams[0].unionByName(streams[1]), path, checkpoint, inputs, log_path=log)
     return _loaded(spark, path)
